@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import tokens
+from . import bpe, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +28,21 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document under the 50k byte vocabulary and the text decoded from them, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op7_token_counts": op7_token_counts,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 
 ORACLE_SQL: dict[str, str] = {}
