@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, tokens
+from . import bpe, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +40,18 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.fit(urls.LABELLED)).drop("url")
+
+
 QUERIES: dict[str, Query] = {
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_url_filter": op9_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_url_filter": urls.judge_sql(urls.fit(urls.LABELLED)),
+}
