@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, tokens, urls
+from . import bpe, secrets, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONTEXT_TOKENS = 4096
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs)
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.written(secrets.base(F.col("secrets"))), 256).alias("base_sha256"),
+        secrets.written(F.col("secrets")).alias("spans"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 32k piece vocabulary, and whether they exceed a 4096-token context."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,6 +62,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_secret_scan": op4_secret_scan,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_url_filter": op9_url_filter,
