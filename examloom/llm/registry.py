@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secrets, tokens, urls
+from . import bpe, quality, secrets, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,18 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from labels outside the held-out third."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        F.coalesce(quality.remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 32k piece vocabulary, and whether they exceed a 4096-token context."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,6 +75,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_secret_scan": op4_secret_scan,
+    "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_url_filter": op9_url_filter,
