@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, secrets, tokens, urls
+from . import bpe, licenses, quality, secrets, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONTEXT_TOKENS = 4096
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses of every document: how many matches, the best covered one, and all of them as name:start:end (places in words)."""
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.element_at(F.array_sort(F.transform("licenses", lambda m: F.struct((-m["coverage"]).alias("worst"), (-m["matched"]).alias("fewest"), m["license"].alias("license")))), 1)
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_matches"),
+        F.when(F.size("licenses") > 0, best["license"]).alias("license"),
+        F.when(F.size("licenses") > 0, -best["worst"]).alias("coverage"),
+        F.array_join(F.transform("licenses", lambda m: F.concat_ws(":", m["license"], m["start"].cast("string"), m["end"].cast("string"))), ",").alias("matches"),
+    )
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,6 +87,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op4_secret_scan": op4_secret_scan,
     "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
