@@ -3,7 +3,8 @@
 Encoding. The merge table is compiled into a transducer over bytes. A
 configuration is (bytes of a token that has begun, token before them, tokens
 not yet emitted); a state is the set of configurations that some future byte
-can still extend, and it is built only when a text first reaches it. A step
+can still extend, and it is built only when a text first reaches it, while the
+table of states has room. A step
 moves every configuration by one byte; one whose bytes form a token that may
 stand after the token before it ends there, and of these exactly one is the
 merge order's own choice. What all configurations agree on is emitted at once,
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from . import common
 
-MAX_STATES = 120_000
+MAX_STATES = 60_000
 MEMO_PIECES = 400_000
 MEMO_PAIRS = 600_000
 
@@ -38,28 +39,51 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class State:
-    __slots__ = ("configs", "next", "rest")
+    __slots__ = ("configs", "next", "packed")
 
     def __init__(self, configs: tuple):
-        self.configs = configs  # (bytes begun, token before them or -1, tokens not yet emitted), earliest start first
+        self.configs = configs  # (trie node of the bytes begun, token before them or -1, tokens not yet emitted), earliest start first
         self.next: dict[int, tuple[State, bytes]] = {}
-        self.rest = array("i", configs[-1][2]).tobytes()  # what remains to be emitted if the input ends here
+        self.packed: bytes | None = None
+
+    @property
+    def rest(self) -> bytes:
+        """What remains to be emitted if the input ends here."""
+        if self.packed is None:
+            self.packed = array("i", self.configs[-1][2]).tobytes()
+        return self.packed
 
 
 class Transducer:
-    """Encodes byte strings by a rank table; states are made on demand."""
+    """Encodes byte strings by a rank table.
+
+    States are made on demand, up to ``MAX_STATES``; from there on, input that
+    leaves the known states is followed configuration by configuration, with
+    the same result.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.begun = {token[:n] for token in ranks for n in range(1, len(token))}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        self.states: dict[tuple, State] = {}
-        self.start = State(((b"", -1, ()),))
-        self.states[self.start.configs] = self.start
+        self.child: dict[int, int] = {}  # node << 8 | byte -> node
+        self.rank_at = [-1]
+        self.grows = bytearray(1)
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                self.grows[node] = 1
+                key = node << 8 | byte
+                node = self.child.get(key, 0)
+                if not node:
+                    node = self.child[key] = len(self.rank_at)
+                    self.rank_at.append(-1)
+                    self.grows.append(0)
+            self.rank_at[node] = rank
+        if any(self.rank_at[self.child.get(byte, 0)] < 0 for byte in range(256)):
+            raise ValueError("the rank table lacks a single byte")
+        self.pairs: dict[int, bool] = {}
+        self.start = State(((0, -1, ()),))
+        self.states = {self.start.configs: self.start}
 
     def merged(self, data: bytes) -> list[int]:
         """The merge loop itself, for strings of two tokens."""
@@ -76,28 +100,26 @@ class Transducer:
         return [ranks[p] for p in parts]
 
     def may_follow(self, left: int, right: int) -> bool:
-        found = self.pairs.get((left, right))
+        key = left << 32 | right
+        found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= MEMO_PAIRS:
                 self.pairs.clear()
-            found = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-            self.pairs[left, right] = found
+            found = self.pairs[key] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         return found
 
-    def step(self, state: State, byte: int) -> tuple[State, bytes]:
-        """The state after one more byte and the tokens (packed) emitted on the way."""
-        ranks, begun, last = self.ranks, self.begun, bytes((byte,))
-        live, ended = [], None
-        for data, before, tokens in state.configs:
-            data += last
-            if ended is None and (rank := ranks.get(data)) is not None and (before < 0 or self.may_follow(before, rank)):
-                ended = rank, tokens
-            if data in begun:
-                live.append((data, before, tokens))
-        if ended is None:
-            raise ValueError("the rank table lacks a single byte")
-        rank, tokens = ended
-        live.append((b"", rank, (*tokens, rank)))
+    def step(self, state: State, byte: int) -> tuple[State, bytes] | None:
+        """The state after one more byte and the tokens (packed) emitted on the way; None if it is unknown and there is no room for it."""
+        live, rank = [], -1
+        for node, before, tokens in state.configs:
+            node = self.child.get(node << 8 | byte)
+            if node is None:
+                continue
+            if rank < 0 and self.rank_at[node] >= 0 and (before < 0 or self.may_follow(before, self.rank_at[node])):
+                rank, ended = self.rank_at[node], tokens
+            if self.grows[node]:
+                live.append((node, before, tokens))
+        live.append((0, rank, (*ended, rank)))
         shared = live[0][2]
         for _, _, tokens in live[1:]:
             n = 0
@@ -109,24 +131,57 @@ class Transducer:
             if not n:
                 break
         if n := len(shared):
-            live = [(data, before, tokens[n:]) for data, before, tokens in live]
+            live = [(node, before, tokens[n:]) for node, before, tokens in live]
         configs = tuple(live)
         after = self.states.get(configs)
         if after is None:
             if len(self.states) >= MAX_STATES:
-                self.clear()
+                return None
             after = self.states[configs] = State(configs)
-        edge = after, array("i", shared).tobytes()
-        state.next[byte] = edge
+        edge = state.next[byte] = after, array("i", shared).tobytes()
         return edge
 
+    def follow(self, state: State, data: bytes) -> bytes:
+        """Tokens (packed) of the rest of an input from a state on, without making states."""
+        child, rank_at, grows, pairs = self.child, self.rank_at, self.grows, self.pairs
+        live = [(node, before, (None, tokens)) for node, before, tokens in state.configs]  # tokens as a chain from the last one back
+        for byte in data:
+            after, rank = [], -1
+            for node, before, chain in live:
+                node = child.get(node << 8 | byte)
+                if node is None:
+                    continue
+                if rank < 0:
+                    r = rank_at[node]
+                    if r >= 0:
+                        if before < 0:
+                            rank, ended = r, chain
+                        else:
+                            fits = pairs.get(before << 32 | r)
+                            if fits is None:
+                                fits = self.may_follow(before, r)
+                            if fits:
+                                rank, ended = r, chain
+                if grows[node]:
+                    after.append((node, before, chain))
+            after.append((0, rank, (ended, (rank,))))
+            live = after
+        parts, chain = [], live[-1][2]
+        while chain is not None:
+            chain, tokens = chain
+            parts.append(tokens)
+        return array("i", [t for tokens in reversed(parts) for t in tokens]).tobytes()
+
     def encode(self, data: bytes) -> bytes:
         """Token ids of one piece, packed as 32-bit integers."""
         state, out = self.start, []
-        for byte in data:
+        for i, byte in enumerate(data):
             edge = state.next.get(byte)
             if edge is None:
                 edge = self.step(state, byte)
+                if edge is None:
+                    out.append(self.follow(state, data[i:]))
+                    return b"".join(out)
             state, emitted = edge
             if emitted:
                 out.append(emitted)
