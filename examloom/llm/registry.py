@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, quality, secrets, tokens, urls
+from . import bpe, licenses, order_minhash, quality, secrets, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, urls.fit(urls.LABELLED)).drop("url")
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of every document and of its edited text, compared with each other and with the next document."""
+    return order_minhash.with_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op4_secret_scan": op4_secret_scan,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_url_filter": op9_url_filter,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
