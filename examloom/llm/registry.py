@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, order_minhash, quality, secrets, tokens, urls
+from . import bpe, decontaminate, licenses, order_minhash, quality, secrets, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents: one row for each contaminated document and item."""
+    found = decontaminate.with_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.item_id", "hit.coverage", "hit.tiles", "hit.first_word")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from labels outside the held-out third."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -94,6 +100,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op4_secret_scan": op4_secret_scan,
+    "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_round_trip": op8_bpe_round_trip,
