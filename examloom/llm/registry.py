@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, order_minhash, quality, secrets, tokens, urls
+from . import bpe, decontaminate, licenses, order_minhash, quality, secrets, simhash, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document and the component of near-duplicates it belongs to."""
+    found = simhash.with_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.written(F.col("simhash")).alias("fingerprint"), "component_id")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -99,6 +105,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op3_simhash": op3_simhash,
     "op4_secret_scan": op4_secret_scan,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
