@@ -341,7 +341,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_c
             texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
             yield _with(batch, [ids_col], [_lists([c.encode(t) if t else b"" for t in texts])])
 
-    return kept.mapInArrow(run, schema)
+    return common.map_in_arrow(kept, run, schema)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -355,7 +355,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", out_col
             ids = batch.column(batch.schema.names.index(ids_col)).to_pylist()
             yield _with(batch, [out_col], [pa.array([c.decode(x) if x else "" for x in ids], pa.string())])
 
-    return kept.mapInArrow(run, schema)
+    return common.map_in_arrow(kept, run, schema)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -372,5 +372,5 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", i
             back = [c.decode(memoryview(p).cast("i")) if p else "" for p in packed]
             yield _with(batch, [ids_col, out_col], [ids, pa.array(back, pa.string())])
 
-    return kept.mapInArrow(run, schema)
+    return common.map_in_arrow(kept, run, schema)
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def fresh(df: DataFrame, base: str) -> str:
@@ -48,5 +50,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def nonce() -> str:
-    return uuid.uuid4().hex[:12]
+
+def map_in_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow`` for columns of any name, dots included."""
+    names, given = df.columns, [f"c{i}" for i in range(len(df.columns))]
+    made = [f"c{i}" for i in range(len(schema.fields))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in function(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=made)
+
+    plain = T.StructType([T.StructField(m, f.dataType, f.nullable) for m, f in zip(made, schema.fields)])
+    return df.toDF(*given).mapInArrow(run, plain).toDF(*schema.names)

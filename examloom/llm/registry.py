@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, order_minhash, quality, secrets, simhash, tokens, urls
+from . import bpe, decontaminate, licenses, order_minhash, quality, secrets, simhash, suffixes, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in 400-byte strings found elsewhere, and the digest of what remains."""
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and the component of near-duplicates it belongs to."""
     found = simhash.with_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -105,6 +111,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash": op3_simhash,
     "op4_secret_scan": op4_secret_scan,
     "op5_decontaminate": op5_decontaminate,
