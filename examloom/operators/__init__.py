@@ -1,0 +1 @@
+"""Dataflow operators of the engine; each takes and returns DataFrames."""

@@ -1,0 +1 @@
+"""Registered queries: operators applied to the shared tables."""
