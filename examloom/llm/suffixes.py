@@ -15,9 +15,11 @@ it many times over, so only suffixes at anchors are sorted:
    backwards, are merge-sorted; two are compared by a binary search for their
    common extension with prefix hashes. The common extensions of neighbours are
    verified byte by byte. A window repeats where suffix and prefix classes agree.
-4. A core that more than ``GROUP`` different surroundings share is refined:
-   half the windows extend the core to one side, half to the other, until
-   groups are small or windows are counted singly. No group is gathered whole.
+4. A core with many different surroundings is refined: half the windows extend
+   the core to one side, half to the other, until groups are small or windows
+   are counted singly. Such cores are noticed where anchors are made (``HOT``
+   different surroundings in one chunk of text) or when they are counted
+   (``GROUP``); their rows are dealt out by surroundings, never by core alone.
 
 Covered spans return to their texts, which are dealt out by text, not by group.
 """
@@ -36,7 +38,9 @@ from . import common
 
 LENGTH = 400
 #: Different surroundings of one core that one task sorts.
-GROUP = 8192
+GROUP = 1024
+#: A core with so many different surroundings in one chunk is common: its anchors are not gathered by core.
+HOT = 16
 #: Surroundings sorted together, in whole groups.
 BATCH = 4096
 #: Bytes of text whose anchors are combined before they are shuffled.
@@ -116,9 +120,11 @@ def _merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     return owner[first], start[first], np.maximum.reduceat(end, first)
 
 
-#: kind 0: an anchor; 1: one that stands for several equal ones; 2: a covered span, in ``around`` as start << 32 | end.
-ANCHORS = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "around", "ka", "place")] + [T.StructField("kind", T.ByteType())])
-#: What classes of anchors tell a text: kind 2 as above in ``value``; 0 or 1: fetch the surroundings of the anchor at place, for core ``value``; 1 needs no answer.
+#: kind 0: an anchor; 1: one that stands for several equal ones; 2: a covered span, in ``around`` as start << 32 | end;
+#: + COMMON: its core is common and ``salt`` deals it out; MARK: no anchor, says that the core is common.
+COMMON, MARK = 4, 8
+ANCHORS = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "around", "ka", "place")] + [T.StructField("kind", T.ByteType()), T.StructField("salt", T.ByteType())])
+#: What classes of anchors tell a text: kind 2 as above in ``value``; 0 or 1 (+ COMMON): fetch the surroundings of the anchor at place, for core ``value``; 1 needs no answer.
 TOLD = T.StructType([T.StructField(n, T.LongType()) for n in ("ka", "kb", "place", "value")] + [T.StructField("kind", T.ByteType())])
 
 
@@ -158,16 +164,23 @@ def _anchor_rows(length: int, slack: int):
         extra = several & ~new
         docs, owner = np.unique(np.stack([ka[several], kb[several]], 1), axis=0, return_inverse=True) if several.any() else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
         owner, start, end = _merged(owner.reshape(-1), np.maximum(at[several] - slack, 0), at[several] + length)
+        new_key = np.concatenate(([True], key[1:] != key[:-1]))
+        group = np.cumsum(new_key) - 1
+        common_key = np.bincount(group[first], minlength=group[-1] + 1) >= HOT
+        common = common_key[group]
+        marks = np.flatnonzero(new_key & common)
         keep = ~extra
         spans = start << 32 | end
+        zeros = np.zeros(len(marks), np.int64)
         return _batch(
             ANCHORS,
             [
-                np.concatenate([key[keep].view(np.int64), _mix((docs[owner, 0] + start).view(_U)).view(np.int64)]),
-                np.concatenate([around[keep].view(np.int64), spans]),
-                np.concatenate([ka[keep], docs[owner, 0]]),
-                np.concatenate([kb[keep] << 32 | at[keep], docs[owner, 1] << 32]),
-                np.concatenate([kind[keep], np.full(len(spans), 2, np.int8)]),
+                np.concatenate([key[keep].view(np.int64), _mix((docs[owner, 0] + start).view(_U)).view(np.int64), key[marks].view(np.int64)]),
+                np.concatenate([around[keep].view(np.int64), spans, zeros]),
+                np.concatenate([ka[keep], docs[owner, 0], zeros]),
+                np.concatenate([kb[keep] << 32 | at[keep], docs[owner, 1] << 32, zeros]),
+                np.concatenate([kind[keep] + COMMON * common[keep].astype(np.int8), np.full(len(spans), 2, np.int8), np.full(len(marks), MARK, np.int8)]),
+                np.concatenate([np.where(common[keep], (around[keep] % _U(127)).astype(np.int8) + 1, 0).astype(np.int8), np.zeros(len(spans) + len(marks), np.int8)]),
             ],
         )
 
@@ -192,21 +205,25 @@ def _anchor_rows(length: int, slack: int):
 def _classified(slack: int, length: int):
     """Anchors, sorted by core and surroundings, to what their texts are told."""
 
-    def told(key, around, ka, place, kind) -> pa.RecordBatch:
-        new_key = np.concatenate(([True], key[1:] != key[:-1]))
-        new = new_key | np.concatenate(([True], around[1:] != around[:-1]))
+    def told(key, around, ka, place, kind, salt) -> pa.RecordBatch:
+        group = np.cumsum(np.concatenate(([True], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])))) - 1
+        common = np.bincount(group, kind >= COMMON, minlength=group[-1] + 1) > 0
+        key, around, ka, place, kind, group = (x[kind != MARK] for x in (key, around, ka, place, kind, group))
+        if not len(key):
+            return _batch(TOLD, [np.empty(0, np.int64)] * 4 + [np.empty(0, np.int8)])
+        new = np.concatenate(([True], (group[1:] != group[:-1]) | (around[1:] != around[:-1])))
         first = np.flatnonzero(new)
         sizes = np.diff(np.append(first, len(key)))
-        several = np.repeat((sizes > 1) | (np.maximum.reduceat(kind, first) == 1), sizes)
-        group = np.cumsum(new_key) - 1
-        different = np.bincount(group[first], minlength=group[-1] + 1)[group] > 1
-        single = different & ~several
-        open_ = np.zeros(group[-1] + 1, bool)
+        several = np.repeat((sizes > 1) | (np.maximum.reduceat(kind & 1, first) == 1), sizes)
+        different = (np.bincount(group[first], minlength=len(common)) > 1) | common
+        single = different[group] & ~several
+        open_ = common.copy()
         open_[group[single]] = True
         stands = several & new & open_[group]  # one of each repeated surroundings, for singles to be compared with
         at = place & 0xFFFFFFFF
         spans = np.maximum(at - slack, 0) << 32 | at + length
         kb = place >> 32
+        extra = COMMON * common[group].astype(np.int8)
         return _batch(
             TOLD,
             [
@@ -214,26 +231,25 @@ def _classified(slack: int, length: int):
                 np.concatenate([kb[several], kb[single], kb[stands]]),
                 np.concatenate([at[several], at[single], at[stands]]),
                 np.concatenate([spans[several], key[single], key[stands]]),
-                np.repeat(np.array([2, 0, 1], np.int8), [several.sum(), single.sum(), stands.sum()]),
+                np.concatenate([np.full(several.sum(), 2, np.int8), extra[single], extra[stands] + np.int8(1)]),
             ],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            rows = [batch.column(i).to_numpy() for i in range(5)]
+            rows = [batch.column(i).to_numpy() for i in range(6)]
             done = rows[4] == 2
             if done.any():
-                key, around, ka, place, _ = (x[done] for x in rows)
+                _, around, ka, place, _, _ = (x[done] for x in rows)
                 yield _batch(TOLD, [ka, place >> 32, np.zeros(len(ka), np.int64), around, np.full(len(ka), 2, np.int8)])
                 rows = [x[~done] for x in rows]
             if not len(rows[0]):
                 continue
             held.append(rows)
-            changes = np.flatnonzero(rows[0][1:] != rows[0][:-1])
-            if len(changes) or len(held) > 1 and held[-2][0][-1] != rows[0][0]:
+            if len({(x[0][i], x[5][i]) for x in held for i in (0, -1)}) > 1:
                 whole = [np.concatenate(x) for x in zip(*held)]
-                tail = int(np.flatnonzero(whole[0] != whole[0][-1])[-1]) + 1
+                tail = int(np.flatnonzero((whole[0] != whole[0][-1]) | (whole[5] != whole[5][-1]))[-1]) + 1
                 yield told(*[x[:tail] for x in whole])
                 held = [[x[tail:] for x in whole]]
         if held:
@@ -285,7 +301,7 @@ def _per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: Surroundings of anchors. ``off`` is the anchor's place in them; ``windows``: first << 16 | last of the windows asked for, by
-#: how far they start before the anchor; kind 1 needs no answer and is there for others to be compared with.
+#: how far they start before the anchor; kind 1 needs no answer and is there for others to be compared with (+ COMMON as above).
 AROUND = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("key", "ka", "kb", "place")]
     + [T.StructField("off", T.IntegerType()), T.StructField("windows", T.IntegerType()), T.StructField("kind", T.ByteType()), T.StructField("bytes", T.BinaryType())]
@@ -441,6 +457,12 @@ def _solved(length: int, slack: int):
             keys = np.array(rows[0], np.int64)
             cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
             for a, b in zip(cuts, cuts[1:]):
+                if rows[6][a] >= COMMON:
+                    # Rows of common cores come first in their core: none of its others are small groups.
+                    part = [column[a:b] for column in rows]
+                    part[6] = [k & 1 for k in part[6]]
+                    yield _batch(SOLVED, [*part, [None] * (b - a)])
+                    continue
                 if rows[0][a] != key:
                     if len(group[0]) > 1:
                         for column, values in zip(ready, group):
@@ -500,7 +522,8 @@ def _spans_of_groups(around: DataFrame, length: int, slack: int) -> DataFrame:
     """(ka, kb, start, end) of all repeated windows around anchors that ask for them."""
     spans = None
     while True:
-        solved = common.cut(around.repartition("key").sortWithinPartitions("key").mapInArrow(_solved(length, slack), SOLVED))
+        salt = F.when(F.col("kind") >= COMMON, F.pmod(F.xxhash64("ka", "place"), F.lit(127))).otherwise(0)
+        solved = common.cut(around.repartition("key", salt).sortWithinPartitions("key").mapInArrow(_solved(length, slack), SOLVED))
         found = solved.where(F.col("kind") == 2).select("ka", "kb", F.col("place").alias("start"), F.col("value").alias("end"))
         spans = found if spans is None else spans.unionByName(found)
         large = solved.where(F.col("kind") != 2).drop("value")
@@ -518,9 +541,9 @@ def _spans_of_groups(around: DataFrame, length: int, slack: int) -> DataFrame:
         equal = halves.where(F.col("kind") == 0).join(several, ["key", "around"], "left_semi")
         start = F.col("place") - F.col("off")
         spans = spans.unionByName(equal.select("ka", "kb", start.alias("start"), (start + F.octet_length("bytes")).alias("end")))
-        shared = classes.groupBy("key").agg(F.count("*").alias("m"), F.min("n").alias("least")).where((F.col("m") > 1) & (F.col("least") == 1)).select("key")
-        kind = F.when(F.col("n") > 1, 1).otherwise(F.col("one.kind")).cast("tinyint")
-        around = classes.join(shared, "key", "left_semi").select("key", "one.ka", "one.kb", "one.place", "one.off", "one.windows", kind.alias("kind"), "one.bytes")
+        shared = common.cut(classes.groupBy("key").agg(F.count("*").alias("m"), F.min("n").alias("least")).where((F.col("m") > 1) & (F.col("least") == 1)).select("key", "m"))
+        kind = F.when(F.col("n") > 1, 1).otherwise(F.col("one.kind")) + F.when(F.col("m") > GROUP, COMMON).otherwise(0)
+        around = classes.join(shared, "key").select("key", "one.ka", "one.kb", "one.place", "one.off", "one.windows", kind.cast("tinyint").alias("kind"), "one.bytes")
 
 
 def _removed(names: list[str]):
@@ -568,7 +591,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = df.select(*[common.col(c) for c in others], F.xxhash64(ident, text).alias(names["__ka"]), F.hash(ident, text).cast("long").alias(names["__kb"]), text.alias(names["__text"]))
     keyed = docs.select(F.col(names["__ka"]).alias("ka"), F.col(names["__kb"]).alias("kb"), F.col(names["__text"]).alias("text"))
     long = keyed.where(F.octet_length("text") >= length).select("ka", "kb", "text")
-    met = long.mapInArrow(_anchor_rows(length, slack), ANCHORS).repartition("key").sortWithinPartitions("key", "around").mapInArrow(_classified(slack, length), TOLD)
+    met = long.mapInArrow(_anchor_rows(length, slack), ANCHORS).repartition("key", "salt").sortWithinPartitions("key", "salt", "around").mapInArrow(_classified(slack, length), TOLD)
     told = common.cut(met.repartition("ka", "kb").sortWithinPartitions("ka", "kb").mapInArrow(_per_text, PER_TEXT))
     wants = told.where(F.octet_length("wants") > 0).select("ka", "kb", "wants")
     around = long.join(wants, ["ka", "kb"]).select("ka", "kb", "text", "wants").mapInArrow(_fetched(length, slack), AROUND)

@@ -57,8 +57,11 @@ def test_equals_brute_force(spark, length):
     assert run(spark, texts, length) == brute(texts, length)
 
 
-def test_large_groups_are_refined(spark, monkeypatch):
-    monkeypatch.setattr(suffixes, "GROUP", 5)
+@pytest.mark.parametrize("group,hot", [(5, 16), (1024, 2), (5, 3), (2, 2)])
+def test_large_groups_are_refined(spark, monkeypatch, group, hot):
+    monkeypatch.setattr(suffixes, "GROUP", group)
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "CHUNK", 3000)
     texts = corpus(7, n=80, common=70)
     assert run(spark, texts, 60) == brute(texts, 60)
 
