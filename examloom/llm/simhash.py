@@ -208,9 +208,11 @@ def with_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = common.cut(fingerprints(df.select(common.col(id_col).alias("id"), common.col(text_col).alias("text")), "text", "fp").select("id", "fp"))
     fps = docs.groupBy("fp").agg(F.min("id").alias("least"))
     roots = graph.components(links(fps.select("fp")))
-    of_fp = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = of_fp.groupBy("root").agg(F.min("least").alias("component"))
-    linked = of_fp.join(least, "root").select("fp", "component")
+    # Only fingerprints with a link have a root; a root itself is found by its own members.
+    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    of_root = common.cut(members.join(fps, members["node"] == fps["fp"]).groupBy("root").agg(F.min("least").alias("component")))
+    linked = members.join(of_root, "root").select(F.col("node").alias("fp"), "component")
+    linked = fps.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
     return docs.join(linked, "fp").select(F.col("id").alias(id_col), F.col("fp").alias(fp_col), F.col("component").alias(component_col))
 
 
