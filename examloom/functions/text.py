@@ -101,4 +101,4 @@ def collapse_repeat(c: Column) -> Column:
     half = F.floor(F.size(words) / 2).cast("int")
     sizes = F.when(half >= 3, F.sequence(half, F.lit(3))).otherwise(F.array().cast("array<int>"))
     fitting = F.filter(sizes, lambda k: F.slice(words, 1, k) == F.slice(words, k + 1, k))
-    return F.when(F.size(fitting) > 0, F.array_join(F.slice(words, 1, F.element_at(fitting, 1)), " ")).otherwise(c)
+    return F.when(F.size(fitting) > 0, F.array_join(F.slice(words, 1, F.get(fitting, 0)), " ")).otherwise(c)

@@ -188,9 +188,9 @@ def row_option(row: Column) -> Column:
     """
     cells = F.transform(row, clean_cell)
     places = F.transform(cells, lambda c, i: F.struct(i.alias("i"), c.isin("A", "B", "C", "D").alias("alone"), c.rlike(LEADING).alias("leads")))
-    first = F.element_at(F.filter(places, lambda p: p["alone"] | p["leads"]), 1)
-    place = F.when(F.element_at(places, 1)["alone"], F.element_at(places, 1)).otherwise(first)
-    cell = F.element_at(cells, place["i"] + 1)
+    first = F.get(F.filter(places, lambda p: p["alone"] | p["leads"]), 0)
+    place = F.when(F.get(places, 0)["alone"], F.get(places, 0)).otherwise(first)
+    cell = F.get(cells, place["i"])
     rest = F.filter(cells, lambda c, i: (i != place["i"]) & (c != ""))
     alone = F.struct(cell.alias("label"), F.array_join(rest, " | ").alias("text"))
     leads = F.struct(F.regexp_extract(cell, LEADING, 1).alias("label"), F.array_join(F.concat(F.array(F.regexp_extract(cell, LEADING, 2)), rest), " ").alias("text"))

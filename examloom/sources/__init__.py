@@ -1,0 +1 @@
+"""Where pages, questions and answers come from."""
