@@ -212,7 +212,8 @@ def with_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     of_root = common.cut(members.join(fps, members["node"] == fps["fp"]).groupBy("root").agg(F.min("least").alias("component")))
     linked = members.join(of_root, "root").select(F.col("node").alias("fp"), "component")
-    linked = fps.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
+    # Cut off, so that both sides of the last join are plain shuffles and a fingerprint with many copies can be split.
+    linked = common.cut(fps.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component")))
     return docs.join(linked, "fp").select(F.col("id").alias(id_col), F.col("fp").alias(fp_col), F.col("component").alias(component_col))
 
 
