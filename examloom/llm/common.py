@@ -69,3 +69,9 @@ def map_in_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], I
 
     plain = T.StructType([T.StructField(m, f.dataType, f.nullable) for m, f in zip(made, schema.fields)])
     return df.toDF(*given).mapInArrow(run, plain).toDF(*schema.names)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan over at least as many tasks as there are cores; one that has enough stays as it is, unshuffled."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= wanted else df.repartition(wanted)

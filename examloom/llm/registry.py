@@ -9,16 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, licenses, order_minhash, quality, secrets, simhash, suffixes, tokens, urls
-from .common import table
+from .common import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 CONTEXT_TOKENS = 4096
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and whole texts of all documents."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses of every document: how many matches, the best covered one, and all of them as name:start:end (places in words)."""
-    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = licenses.scan(documents(spark, sf_dir))
     best = F.element_at(F.array_sort(F.transform("licenses", lambda m: F.struct((-m["coverage"]).alias("worst"), (-m["matched"]).alias("fewest"), m["license"].alias("license")))), 1)
     return found.select(
         "doc_id",
@@ -31,19 +36,19 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in 400-byte strings found elsewhere, and the digest of what remains."""
-    found = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = suffixes.remove_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and the component of near-duplicates it belongs to."""
-    found = simhash.with_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = simhash.with_components(documents(spark, sf_dir))
     return found.select("doc_id", simhash.written(F.col("simhash")).alias("fingerprint"), "component_id")
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base spans, and all spans."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     found = secrets.scan(docs)
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
@@ -58,13 +63,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents: one row for each contaminated document and item."""
-    found = decontaminate.with_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.with_hits(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.item_id", "hit.coverage", "hit.tiles", "hit.first_word")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from labels outside the held-out third."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).select(
         "doc_id",
@@ -76,7 +81,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 32k piece vocabulary, and whether they exceed a 4096-token context."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     counted = tokens.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select(
         "doc_id",
@@ -88,7 +93,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document under the 50k byte vocabulary and the text decoded from them, as digests."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir)
     both = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return both.select(
         "doc_id",
