@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and texts of documents. A scan of fewer tasks than cores is dealt out first: its one file would keep one core busy."""
+    docs, cores = table(spark, sf_dir, "documents").select("doc_id", "text"), spark.sparkContext.defaultParallelism
+    return docs if docs._jdf.queryExecution().toRdd().getNumPartitions() >= cores else docs.repartition(cores)
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a query under its function's name, with the DuckDB text that gives the same rows."""
 
@@ -156,7 +162,7 @@ lines AS (SELECT doc_id, CAST(i AS INT) AS block_index, text, 72.0::DOUBLE AS x0
 @query(LINES_SQL + " SELECT * FROM lines")
 def plain_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of plain text with made-up geometry: documents as pages."""
-    return layout.plain_text_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return layout.plain_text_lines(documents(spark, sf_dir), "doc_id", "text")
 
 
 KEPT_SQL = "y0 >= 50 AND y0 <= 841.9 - 50 AND NOT regexp_matches(text, '" + tx.FURNITURE.replace("'", "''") + "')"
@@ -165,7 +171,7 @@ KEPT_SQL = "y0 >= 50 AND y0 <= 841.9 - 50 AND NOT regexp_matches(text, '" + tx.F
 @query(LINES_SQL + f" SELECT doc_id, count(*) AS n_lines, CAST(coalesce(sum(CASE WHEN {KEPT_SQL} THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_kept FROM lines GROUP BY 1")
 def furniture_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines outside headers, footers and page furniture, counted per page: documents as pages."""
-    lines = layout.plain_text_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    lines = layout.plain_text_lines(documents(spark, sf_dir), "doc_id", "text")
     furniture = tx.is_furniture(F.col("text"), F.col("y0"), F.lit(layout.A4_HEIGHT))
     return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(~furniture).alias("n_kept"))
 
@@ -174,7 +180,7 @@ def furniture_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, CASE WHEN length(t) > 3000 THEN substr(t, 1, 2997) || '...' ELSE t END AS context FROM j""")
 def page_text_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of a page as context for an extractor, cut to 3000 characters: documents as pages."""
-    lines = layout.plain_text_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    lines = layout.plain_text_lines(documents(spark, sf_dir), "doc_id", "text")
     return layout.page_context(lines, ["doc_id"], ["block_index"])
 
 
@@ -183,7 +189,7 @@ WITH c AS (SELECT doc_id, regexp_replace(regexp_replace(text, '\s+', ' ', 'g'),
 SELECT doc_id, CASE WHEN length(t) > 100 THEN substr(t, 1, 97) || '...' ELSE t END AS preview FROM c""")
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts collapsed and cut to 100 characters."""
-    return table(spark, sf_dir, "documents").select("doc_id", tx.preview(F.col("text")).alias("preview"))
+    return documents(spark, sf_dir).select("doc_id", tx.preview(F.col("text")).alias("preview"))
 
 
 @query(r"""
@@ -361,7 +367,7 @@ SELECT doc_id, leaf, round(score, 4) AS score, round(least(0.99::DOUBLE, score /
 def classify_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics by keyword overlap: documents as questions, a small inline taxonomy of frequent syllables."""
     leaves = spark.createDataFrame(LEAVES, "leaf int, topic_title string, section string, title string, outcomes string")
-    rows = classify.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), leaves, "doc_id", "text")
+    rows = classify.classify(documents(spark, sf_dir), leaves, "doc_id", "text")
     return rows.withColumns({"score": F.round("score", 4), "confidence": F.round("confidence", 4)})
 
 
@@ -394,14 +400,14 @@ def chem_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def chem_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formulae, units and states in every document, with their places."""
-    rows = chemistry.tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    rows = chemistry.tokens(documents(spark, sf_dir), "text")
     return rows.select("doc_id", F.explode("tokens").alias("token")).select("doc_id", "token.*")
 
 
 @query("SELECT doc_id, sha256(text) AS sha256, strlen(text) AS n_bytes FROM documents")
 def file_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SHA-256 and size of contents: documents as files."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("long").alias("n_bytes"))
+    return documents(spark, sf_dir).select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("long").alias("n_bytes"))
 
 
 @query("""
