@@ -1,10 +1,12 @@
 """Quality classifier by compression (operator 6).
 
-Two zstandard dictionaries are built, from texts labelled good and bad. A text
-is compressed with either, in blocks that share no history, so that the
-dictionaries count through the whole text; the difference of the compressed
-sizes, per byte of text, is turned into a probability by a logistic curve that
-is fitted on labelled rows the dictionaries have not seen.
+Two zstandard dictionaries are built, from texts labelled good and bad; lines
+that texts of both labels share are left out of them. A text is compressed with
+either, in blocks that share no history, so that the dictionaries count through
+the whole text. The difference of the compressed sizes is normalised by the
+length of the text, with a few bytes added so that short texts say little, and
+turned into a probability by a logistic curve, whose bias may differ for short
+texts. The curve is fitted on labelled rows the dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -27,16 +29,19 @@ LEVEL = 3
 SAMPLE_ROWS = 1_500
 SAMPLE_TEXT_BYTES = 32_768
 SAMPLE_BLOCKS = 4_000
+#: Bytes added to a text's length when its difference is normalised.
+DAMPING = 64
 
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionaries and the curve score = 1 / (1 + exp(-(bias + slope * difference))). Without dictionaries the score is a constant."""
+    """Dictionaries and the curve score = 1 / (1 + exp(-(bias + slope * difference + short * shortness))). Without dictionaries the score is a constant."""
 
     good: bytes
     bad: bytes
     bias: float
     slope: float
+    short: float
 
 
 def blocks(data: bytes) -> list[bytes]:
@@ -48,6 +53,8 @@ def dictionary(texts: Sequence[bytes]) -> bytes:
     import zstandard
 
     samples = [b for t in texts for b in blocks(t)]
+    if not samples:
+        return b""
     samples = samples[:: max(1, len(samples) // SAMPLE_BLOCKS)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -70,47 +77,56 @@ class Scorer:
                 d.precompute_compress(level=LEVEL)
                 self.pair.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False).compress)
 
-    def difference(self, data: bytes) -> float:
-        """Bytes saved by the good dictionary over the bad one, per byte of text."""
+    def features(self, data: bytes) -> tuple[float, float]:
+        """The normalised difference (bytes saved by the good dictionary over the bad one) and shortness, 1 for no text and near 0 for long ones."""
+        n = len(data) + DAMPING
         if self.pair is None or not data:
-            return 0.0
+            return 0.0, DAMPING / n
         good, bad = self.pair
-        return sum(len(bad(b)) - len(good(b)) for b in blocks(data)) / len(data)
+        return sum(len(bad(b)) - len(good(b)) for b in blocks(data)) / n, DAMPING / n
 
     def score(self, text: str | None) -> float:
-        z = self.model.bias + self.model.slope * self.difference((text or "").encode())
+        difference, shortness = self.features((text or "").encode())
+        z = self.model.bias + self.model.slope * difference + self.model.short * shortness
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
+def _own_lines(texts: Sequence[bytes], shared: set[bytes]) -> list[bytes]:
+    return [b"\n".join(line for line in t.split(b"\n") if line not in shared) for t in texts]
+
+
+def _curve(points: Sequence[tuple[tuple[float, float], int]], start: float) -> tuple[float, float, float]:
+    """Bias and two slopes by Newton's method on scaled features, with a slight pull of the slopes to zero."""
+    import numpy as np
+
+    x = np.array([p for p, _ in points])
+    y = np.array([y for _, y in points], float)
+    mean, scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
+    design = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+    pull = np.diag([1e-9, 1e-2, 1.0])
+    w = np.array([start, 0.0, 0.0])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + pull, design.T @ (p - y) + pull @ w)
+        w = w - step / max(1.0, float(np.abs(step).max()))
+        if np.abs(step).max() < 1e-9:
+            break
+    slopes = w[1:] / scale
+    return float(w[0] - (slopes * mean).sum()), float(slopes[0]), float(slopes[1])
+
+
 def fit(rows: Sequence[tuple[str, int]]) -> Model:
     """A model from (text, label) rows: every other row of a label builds its dictionary, the rest fit the curve."""
     by_label = [[t.encode() for t, y in rows if y == label and t] for label in (0, 1)]
     rate = (len(by_label[1]) + 1) / (len(by_label[0]) + len(by_label[1]) + 2)
-    constant = Model(b"", b"", math.log(rate / (1 - rate)), 0.0)
+    bias = math.log(rate / (1 - rate))
     if not all(by_label):
-        return constant
-    bad, good = (dictionary(texts[::2]) for texts in by_label)
-    scorer = Scorer(Model(good, bad, 0.0, 1.0))
-    points = [(scorer.difference(t), label) for label, texts in enumerate(by_label) for t in (texts[1::2] or texts)]
-    # Newton's method on centred and scaled differences, with a slight pull of the slope to zero.
-    mean = sum(x for x, _ in points) / len(points)
-    scale = math.sqrt(sum((x - mean) ** 2 for x, _ in points) / len(points)) or 1.0
-    points = [((x - mean) / scale, y) for x, y in points]
-    a, b = constant.bias, 0.0
-    for _ in range(50):
-        ga, gb, haa, hab, hbb = 0.0, 1e-2 * b, 1e-9, 0.0, 1e-2
-        for x, y in points:
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * x))))
-            w = p * (1 - p)
-            ga, gb = ga + p - y, gb + (p - y) * x
-            haa, hab, hbb = haa + w, hab + w * x, hbb + w * x * x
-        det = haa * hbb - hab * hab
-        da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-        size = max(abs(da), abs(db), 1.0)
-        a, b = a - da / size, b - db / size
-        if size == 1.0 and max(abs(da), abs(db)) < 1e-9:
-            break
-    return Model(good, bad, a - b * mean / scale, b / scale)
+        return Model(b"", b"", bias, 0.0, 0.0)
+    bad_lines, good_lines = ({line for t in texts for line in t.split(b"\n")} for texts in by_label)
+    bad, good = (dictionary(_own_lines(texts[::2], bad_lines & good_lines)) for texts in by_label)
+    scorer = Scorer(Model(good, bad, 0.0, 1.0, 0.0))
+    points = [(scorer.features(t), label) for label, texts in enumerate(by_label) for t in (texts[1::2] or texts)]
+    return Model(good, bad, *_curve(points, bias))
 
 
 def remainder(doc_id: Column) -> Column:
