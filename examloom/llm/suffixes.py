@@ -38,7 +38,7 @@ from . import common
 
 LENGTH = 400
 #: Different surroundings of one core that one task sorts.
-GROUP = 256
+GROUP = 128
 #: A core with so many different surroundings in one chunk is common: its anchors are not gathered by core.
 HOT = 16
 #: Surroundings sorted together, in whole groups.
