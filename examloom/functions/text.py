@@ -102,3 +102,9 @@ def collapse_repeat(c: Column) -> Column:
     sizes = F.when(half >= 3, F.sequence(half, F.lit(3))).otherwise(F.array().cast("array<int>"))
     fitting = F.filter(sizes, lambda k: F.slice(words, 1, k) == F.slice(words, k + 1, k))
     return F.when(F.size(fitting) > 0, F.array_join(F.slice(words, 1, F.get(fitting, 0)), " ")).otherwise(c)
+
+
+def question_number(c: Column) -> Column:
+    """The first run of digits; a text without any is an error."""
+    digits = F.regexp_extract(c, "([0-9]+)", 1)
+    return F.when(digits != "", digits.cast("int")).otherwise(F.raise_error(F.concat(F.lit("no question number: "), F.coalesce(c, F.lit("null")))).cast("int"))

@@ -121,3 +121,16 @@ def content(questions: DataFrame) -> DataFrame:
     first = questions.withColumn("content", cleaned(F.col("raw_blocks"), F.col("stem"), F.col("options"), F.col("has_diagram")))
     whole = first.withColumn("content", with_options_block(F.col("content"), F.col("options"), F.col("visual_options")))
     return whole.withColumn("content", with_assets(F.col("content"), F.col("stem_paths"), F.col("option_path")))
+
+
+def structured_content(questions: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Questions with ``content``: the stem, a diagram if they have one, and their parts behind ``(a)`` or ``(a)(i)``. Parts come with label, prompt, part and parent."""
+    roots = parts.select(*keys, F.col("part").alias("parent"), F.col("label").alias("__root"))
+    named = parts.join(roots, [*keys, "parent"], "left")
+    head = F.concat(F.coalesce(F.concat(F.lit("("), "__root", F.lit(")")), F.lit("")), F.lit("("), "label", F.lit(") "))
+    told = named.where(F.coalesce(F.trim("prompt"), F.lit("")) != "").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("part", F.concat(head, "prompt").alias("text")))).alias("__parts"))
+    rows = questions.join(told, keys, "left")
+    stem = F.when(F.coalesce(F.trim("stem"), F.lit("")) != "", block("text", F.col("stem")))
+    diagram = F.when(F.col("has_diagram"), block("diagram", visual=True))
+    listed = F.transform(F.coalesce("__parts", F.array().cast("array<struct<part:int,text:string>>")), lambda p: block("text", p["text"]))
+    return rows.withColumn("content", F.filter(F.concat(F.array(stem, diagram), listed), lambda b: b.isNotNull())).drop("__parts")

@@ -10,6 +10,11 @@ from examloom.functions.boxes import Box
 
 LAST = 10_000_000
 A4_WIDTH, A4_HEIGHT = 595.3, 841.9
+NUMBER_X, LEAST_SPAN, LEAST_WIDTH = 77.2, 10.0, 40.0
+TABLE_ROWS = 20
+#: A question that begins inside a block of text, or at its head.
+EMBEDDED_QUESTION = r"\s+(?=(?:[1-9]|[1-3]\d|40)\s+(?:[A-Z][a-z]+|[A-Z]\s+[a-z]))"
+QUESTION_HEAD = r"(?i)^(?:Q\s*)?([1-9]|[1-3]\d|40)(?:[.)]\s*|\s+)(\S.*)$"
 LINE_BREAKS = r"\r\n|[\n\r\u000B\u000C\u001C\u001D\u001E\u0085  ]"
 
 
@@ -71,3 +76,33 @@ def without_table_text(lines: DataFrame, tables: DataFrame, keys: list[str]) ->
     for k in keys:
         same &= F.col(k) == F.col(f"t_{k}")
     return lines.join(t, same & Box.named("t_").holds(*Box.named("").middle()), "left_anti")
+
+
+def block_lines(blocks: DataFrame) -> DataFrame:
+    """Lines of text blocks (paper_id, page, pos, text, x0 to y1), cut at line breaks and before embedded questions.
+
+    The lines share the block's height, at least 10 points each; one that
+    begins like a question starts no further right than question numbers do.
+    ``pos`` becomes the order of the lines in the paper's blocks.
+    """
+    cut = F.flatten(F.transform(F.split("text", LINE_BREAKS), lambda line: F.split(line, EMBEDDED_QUESTION)))
+    pieces = F.filter(F.transform(cut, tx.strip), lambda p: p != "")
+    rows = blocks.withColumn("__pieces", pieces).where(F.size("__pieces") > 0)
+    span = F.greatest((F.col("y1") - F.col("y0")) / F.size("__pieces"), F.lit(LEAST_SPAN))
+    rows = rows.withColumn("__span", span).select("*", F.posexplode("__pieces").alias("line_no", "__piece"))
+    x0 = F.when(F.col("__piece").rlike(QUESTION_HEAD), F.least("x0", F.lit(NUMBER_X))).otherwise(F.col("x0"))
+    y0 = F.col("y0") + F.col("line_no") * F.col("__span")
+    return rows.select(
+        "paper_id", "page", (F.col("pos") * 1000 + F.col("line_no")).alias("pos"), F.col("__piece").alias("text"), x0.alias("x0"), y0.alias("y0"),
+        F.greatest("x1", x0 + LEAST_WIDTH).alias("x1"), F.least("y1", y0 + F.col("__span")).alias("y1"), F.col("pos").alias("block_index"), "line_no",
+    )
+
+
+def table_text(headers: Column, rows: Column, number: Column) -> Column:
+    """A table as context for an extractor: headers and the first 20 rows, and how many more there are."""
+    cells = lambda r: F.array_join(F.filter(F.transform(r, lambda c: F.trim(F.coalesce(c, F.lit("")))), lambda c: c != ""), " | ")
+    head = F.when(F.size(headers) > 0, F.concat(F.lit("Headers: "), F.array_join(headers, " | ")))
+    body = F.transform(F.slice(rows, 1, TABLE_ROWS), lambda r: F.concat(F.lit("Row: "), cells(r)))
+    more = F.when(F.size(rows) > TABLE_ROWS, F.concat(F.lit("... ("), (F.size(rows) - TABLE_ROWS).cast("string"), F.lit(" more rows)")))
+    parts = F.concat(F.array(F.concat(F.lit("Table "), number.cast("string"), F.lit(":")), head), body, F.array(more))
+    return F.array_join(F.filter(parts, lambda p: p.isNotNull()), "\n")

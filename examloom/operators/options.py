@@ -204,6 +204,40 @@ def table_role(rows: Column) -> Column:
     return F.when((F.size(labels) >= 2) | stacked, "options").otherwise("stem")
 
 
+def option_matrix(headers: Column, rows: Column) -> Column:
+    """An option table as struct<headers, rows>: labels first, cells padded to one width, headers that say something behind an empty one.
+
+    A cell that begins with its label gives what follows to the second of the
+    other cells (the first if it is alone). Rows without a label, and rows that
+    stack all labels, are left out; if none is left the table stays as it is,
+    with a place for labels in its headers.
+    """
+    clean = F.transform(rows, lambda r: F.transform(r, clean_cell))
+    aligned = F.filter(F.transform(clean, _aligned_row), lambda r: r.isNotNull())
+    width = F.array_max(F.transform(aligned, F.size))
+    padded = F.transform(aligned, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
+    names = F.transform(headers, clean_cell)
+    telling = F.filter(names, lambda h: (h != "") & ~F.lower(h).isin("unnamed: 0", "unnamed:0") & ~h.isin("A", "B", "C", "D"))
+    filled = F.slice(F.concat(telling, F.array_repeat(F.lit(""), F.greatest(width, F.lit(1)))), 1, F.greatest(width - 1, F.lit(0)))
+    plain = F.when(F.coalesce(F.get(names, 0), F.lit("x")) == "", names).otherwise(F.concat(F.array(F.lit("")), names))
+    result = lambda h, r: F.struct(h.alias("headers"), r.alias("rows"))
+    return F.when(F.size(aligned) > 0, result(F.concat(F.array(F.lit("")), filled), padded)).otherwise(result(plain, clean))
+
+
+def _aligned_row(row: Column) -> Column:
+    joined = F.array_join(row, " ")
+    found = row_option(row)
+    places = F.transform(row, lambda c, i: F.struct(i.alias("i"), (c == found["label"]).alias("alone"), (F.regexp_extract(c, LEADING, 1) == found["label"]).alias("leads")))
+    place = F.get(F.filter(places, lambda p: p["alone"] | p["leads"]), 0)
+    others = F.filter(row, lambda c, i: i != place["i"])
+    tail = tx.strip(F.regexp_extract(F.get(row, place["i"]), LEADING, 2))
+    at = F.when(F.size(others) >= 2, 1).otherwise(0)
+    merged = F.when(F.size(others) == 0, F.array(tail)).otherwise(F.transform(others, lambda c, i: F.when(i == at, F.trim(F.concat_ws(" ", tail, c))).otherwise(c)))
+    cells = F.when(place["alone"] | (tail == ""), others).otherwise(merged)
+    stacked = F.regexp_replace(joined, r"\|", " ").rlike(STACKED) | joined.contains("A | B | C | D")
+    return F.when(found["label"].isNotNull() & ~stacked, F.concat(F.array(found["label"]), cells))
+
+
 def table_options(tables: DataFrame, keys: list[str], order: str = "pos") -> DataFrame:
     """Options (map of label to text) from the option table of each question that has most; the first of equals. The last row of a label counts."""
     found = F.filter(F.transform("rows", row_option), lambda o: o["label"].isNotNull() & (o["text"] != ""))

@@ -10,6 +10,8 @@ from examloom.functions.boxes import NEAR_POINTS, Box
 IMAGE_BEFORE, TABLE_BEFORE, END_SLACK = 4.0, 8.0, 1.0
 FIGURE_OVERLAP, LINE_IN_FIGURE, TABLE_OWNED, SCAN_SHARE = 0.30, 0.50, 0.35, 0.55
 LAST_Y = 10_000.0
+REGION_PAD, LEAST_IMAGE, MOST_OF_PAGE = 12.0, 2_500.0, 0.45
+STRIP_INSET, STRIP_ABOVE, STRIP_BELOW = 36.0, 6.0, 16.0
 
 
 def bands(starts: DataFrame, paper: str = "paper_id", final_page: Column | None = None) -> DataFrame:
@@ -96,10 +98,24 @@ def union_box(prefix: str = "") -> list[Column]:
     return [F.min(b.x0).alias("x0"), F.min(b.y0).alias("y0"), F.max(b.x1).alias("x1"), F.max(b.y1).alias("y1")]
 
 
-def page_strips(lines: DataFrame, pages: DataFrame, keys: list[str], pad: float = 8.0) -> DataFrame:
-    """Per key and page the box around its lines, padded but inside the page and at least 8 points each way."""
-    around = lines.groupBy(*keys, "page").agg(*union_box()).join(pages.select("paper_id", "page", "width", "height"), ["paper_id", "page"])
-    x0, y0 = F.greatest(F.lit(0.0), F.col("x0") - pad), F.greatest(F.lit(0.0), F.col("y0") - pad)
-    x1 = F.greatest(x0 + 8, F.least(F.col("width"), F.col("x1") + pad))
-    y1 = F.greatest(y0 + 8, F.least(F.col("height"), F.col("y1") + pad))
-    return around.select(*keys, "page", x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
+def tables_in_regions(regions: DataFrame, tables: DataFrame, pages: list[str]) -> DataFrame:
+    """Tables that lie in a region of their page with 35 % of their area or more; neighbours' tables stay with them."""
+    near = lambda r, t: r.overlaps(t, REGION_PAD) & (t.shared_area(r) / F.greatest(t.area(), F.lit(1.0)) >= TABLE_OWNED)
+    return pairs(regions, tables, pages, near)
+
+
+def images_in_regions(regions: DataFrame, images: DataFrame, sizes: DataFrame, pages: list[str]) -> DataFrame:
+    """Images whose middle lies in a region of their page, neither tiny nor most of the page."""
+    area = sizes.select(*pages, F.greatest(F.col("width") * F.col("height"), F.lit(1.0)).alias("__page_area"))
+    sized = images.join(area, pages).where((Box.named("").area() >= LEAST_IMAGE) & (Box.named("").area() <= F.col("__page_area") * MOST_OF_PAGE)).drop("__page_area")
+    return pairs(regions, sized, pages, lambda r, i: r.holds(*i.middle(), REGION_PAD))
+
+
+def page_strips(lines: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key and page the strip around its lines, padded but inside the page; strips below 8 points either way are left out."""
+    around = lines.groupBy(*keys, "page").agg(*union_box()).join(sizes.select("paper_id", "page", "width", "height"), ["paper_id", "page"])
+    x0 = F.greatest(F.lit(0.0), F.least(F.lit(STRIP_INSET), F.col("x0") - 8))
+    x1 = F.least(F.col("width"), F.greatest(F.col("width") - STRIP_INSET, F.col("x1") + 8))
+    y0, y1 = F.greatest(F.lit(0.0), F.col("y0") - STRIP_ABOVE), F.least(F.col("height"), F.col("y1") + STRIP_BELOW)
+    strips = around.select(*keys, "page", x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
+    return strips.where((F.col("x1") - F.col("x0") >= 8) & (F.col("y1") - F.col("y0") >= 8))

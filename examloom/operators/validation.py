@@ -123,3 +123,15 @@ def validate_canonical(records: DataFrame) -> DataFrame:
         issue(F.exists("image_assets", lambda a: F.coalesce(F.trim(a), F.lit("")) == ""), "EMPTY_IMAGE_BLOCK", "an image block has no picture"),
     )
     return records.withColumn("issues", found).withColumn("ok", F.size("issues") == 0)
+
+
+def validate_structured(questions: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Issues and status of structured questions: no stem and no parts (an error), parts without a prompt or sub-parts (warnings). Any issue makes the status review."""
+    children = parts.where(F.col("parent").isNotNull()).select(*keys, F.col("parent").alias("part"), F.lit(True).alias("__child")).distinct()
+    empty = parts.join(children, [*keys, "part"], "left").where((F.coalesce(F.trim("prompt"), F.lit("")) == "") & F.col("__child").isNull())
+    found = F.struct(F.lit("EMPTY_PART").alias("code"), F.concat(F.lit("part ("), "label", F.lit(") has no prompt")).alias("message"), F.lit("warning").alias("severity"))
+    counts = parts.groupBy(*keys).agg(F.count("*").alias("__n"))
+    joined = questions.join(counts, keys, "left").join(empty.groupBy(*keys).agg(F.array_sort(F.collect_list(found)).alias("__empty")), keys, "left")
+    blank = issue((F.coalesce(F.trim("stem"), F.lit("")) == "") & F.col("__n").isNull(), "EMPTY_QUESTION", "the question has neither stem nor parts")
+    rows = joined.withColumn("issues", F.concat(issues(blank), F.coalesce("__empty", F.filter(F.array(blank), lambda i: F.lit(False)))))
+    return rows.drop("__n", "__empty").withColumn("status", F.when(F.size("issues") > 0, "review").otherwise("pass"))

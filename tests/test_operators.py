@@ -5,7 +5,7 @@ import json
 import pytest
 from examloom.functions import boxes
 from examloom.functions import text as tx
-from examloom.operators import blocks, chemistry, classify, evaluation, figures, matching, options, report, sinks, spatial, taxonomy, validation
+from examloom.operators import blocks, chemistry, classify, evaluation, figures, layout, matching, options, report, sinks, spatial, taxonomy, validation
 from examloom.plans import paper
 from examloom.sources import pages
 from pyspark.sql import functions as F
@@ -273,3 +273,52 @@ def test_paper_totals(spark):
     statuses = [[], ["not_evaluated"], ["passed", "not_evaluated"], ["passed", "needs_review"], ["failed", "needs_review"]]
     df = spark.createDataFrame([(i, s) for i, listed in enumerate(statuses) for s in listed or [None]], "i int, s string")
     assert [r["x"] for r in df.groupBy("i").agg(validation.rolled_up(F.col("s")).alias("x")).orderBy("i").collect()] == ["not_evaluated", "not_evaluated", "passed", "needs_review", "failed"]
+
+
+def test_regions_and_strips(spark):
+    schema = "paper_id string, page int, x0 double, y0 double, x1 double, y1 double"
+    region = spark.createDataFrame([("p", 1, 50.0, 100.0, 500.0, 300.0)], schema)
+    boxes_ = [("p", 1, 60.0, 110.0, 200.0, 200.0), ("p", 1, 60.0, 290.0, 200.0, 400.0), ("p", 1, 60.0, 110.0, 70.0, 120.0), ("p", 2, 60.0, 110.0, 200.0, 200.0), ("p", 1, 0.0, 0.0, 590.0, 390.0)]
+    items = spark.createDataFrame(boxes_, schema)
+    sizes = spark.createDataFrame([("p", 1, 595.3, 600.0), ("p", 2, 595.3, 841.9)], "paper_id string, page int, width double, height double")
+    tops = lambda df: sorted(r["r_y0"] for r in df.collect())
+    assert tops(spatial.tables_in_regions(region, items, ["paper_id", "page"])) == [0.0, 110.0, 110.0]
+    assert tops(spatial.images_in_regions(region, items, sizes, ["paper_id", "page"])) == [110.0]
+    strip = spatial.page_strips(items.where("page = 2").withColumn("q", F.lit(1)), sizes, ["paper_id", "q"]).first()
+    assert (strip["x0"], strip["y0"], strip["x1"], strip["y1"]) == (36.0, 104.0, 559.3, 216.0)
+
+
+def test_blocks_of_text(spark):
+    text = "D red brown 40 A section of a polymer is shown.\nsecond line"
+    df = spark.createDataFrame([("p", 1, 3, text, 100.0, 100.0, 400.0, 160.0), ("p", 1, 4, "  ", 1.0, 1.0, 2.0, 2.0)], "paper_id string, page int, pos int, text string, x0 double, y0 double, x1 double, y1 double")
+    got = [(r["text"], r["x0"], r["y0"], r["y1"]) for r in layout.block_lines(df).orderBy("pos").collect()]
+    assert got == [("D red brown", 100.0, 100.0, 120.0), ("40 A section of a polymer is shown.", 77.2, 120.0, 140.0), ("second line", 100.0, 140.0, 160.0)]
+    told = one(spark, layout.table_text(F.array(F.lit("a"), F.lit("b")), F.array_repeat(F.array(F.lit(" x "), F.lit("")), 22), F.lit(1)))
+    assert told == "Table 1:\nHeaders: a | b\n" + "Row: x\n" * 20 + "... (2 more rows)"
+
+
+def test_option_tables(spark):
+    def matrix(headers, rows):
+        row = spark.createDataFrame([(headers, rows)], "h array<string>, r array<array<string>>").select(options.option_matrix(F.col("h"), F.col("r")).alias("m")).first()["m"]
+        return row["headers"], row["rows"]
+
+    assert matrix(["section", "description", "Unnamed: 0"], [["P to Q", "The particles  move", "A"], ["Q to R", "They melt", "B"], ["note", "x", "y"]]) == (["", "section", "description"], [["A", "P to Q", "The particles move"], ["B", "Q to R", "They melt"]])
+    assert matrix(["x"], [["A iron", "1", "2"], ["B", "3"]]) == (["", "x", ""], [["A", "1", "iron 2"], ["B", "3", ""]])
+    assert matrix(["h"], [["A | B | C | D", ""]]) == (["", "h"], [["A | B | C | D", ""]])
+    role = lambda rows: spark.createDataFrame([(rows,)], "r array<array<string>>").select(options.table_role(F.col("r"))).first()[0]
+    assert role([["A", "1"], ["B", "2"]]) == "options" and role([["A B C D", ""]]) == "options" and role([["gas", "A"], ["x", "y"]]) == "stem"
+
+
+def test_structured_rows(spark):
+    questions = spark.createDataFrame([("p", 1, "Stem", True), ("p", 2, "", False), ("p", 3, "", False)], "paper_id string, question int, stem string, has_diagram boolean")
+    parts = spark.createDataFrame([("p", 1, 5, "a", "First", 2, None), ("p", 1, 6, "i", "Sub", None, 5), ("p", 3, 9, "a", "", None, None)], "paper_id string, question int, part int, label string, prompt string, marks int, parent int")
+    keys = ["paper_id", "question"]
+    got = {r["question"]: ([i["code"] for i in r["issues"]], r["status"]) for r in validation.validate_structured(questions, parts, keys).collect()}
+    assert got == {1: ([], "pass"), 2: (["EMPTY_QUESTION"], "review"), 3: (["EMPTY_PART"], "review")}
+    content = {r["question"]: [(b["type"], b["text"]) for b in r["content"]] for r in blocks.structured_content(questions, parts, keys).collect()}
+    assert content == {1: [("text", "Stem"), ("diagram", None), ("text", "(a) First"), ("text", "(a)(i) Sub")], 2: [], 3: []}
+    text = report.structured_report(validation.validate_structured(questions, parts, keys), parts).first()["report"]
+    assert text == "Q1 [pass] Stem\n  (a) [2] First\n    (i) Sub\nQ2 [review] (empty)\nQ3 [review] (empty)\n  (a) "
+    assert one(spark, tx.question_number(F.lit("Q12b"))) == 12
+    with pytest.raises(Exception, match="no question number"):
+        one(spark, tx.question_number(F.lit("none")))
