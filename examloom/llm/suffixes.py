@@ -43,6 +43,8 @@ GROUP = 128
 HOT = 16
 #: Surroundings sorted together, in whole groups.
 BATCH = 4096
+#: Windows of a text that are looked at together.
+STEP = 4 << 20
 #: Bytes of text whose anchors are combined before they are shuffled.
 CHUNK = 16 << 20
 
@@ -92,20 +94,33 @@ def _least(x: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
     return pick(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def anchors(data: np.ndarray, length: int, slack: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, core hashes and surroundings' hashes of a text's anchors; none if it is shorter than ``length``."""
+def anchors(data: np.ndarray, length: int, slack: int, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, core hashes and surroundings' hashes of a text's anchors; none if it is shorter than ``length``.
+
+    ``step`` windows are looked at together, so that a very long text takes no
+    more memory than a shorter one; the anchors are the same for every step.
+    """
     n, core = len(data), length - slack
-    if n < length:
+    found = []
+    for first in range(0, n - length + 1, step):
+        last = min(first + step, n - length + 1)
+        low = max(0, first - slack)
+        part = data[low : last + slack + length]
+        sums = prefix_hashes(part)
+        h = _mix((sums[core:] - sums[:-core]) * _powers.down[: len(part) - core + 1])
+        inside = h[first - low : last - low + slack]
+        least = _least(inside, slack + 1)
+        # A place is chosen if one of the windows that hold its core has no lesser hash.
+        edge = np.zeros(slack, _U)
+        at = np.flatnonzero(_least(np.concatenate([edge, least, edge]), slack + 1, np.maximum) == inside) + first
+        a, b = np.maximum(at - slack, 0), np.minimum(at + length, n)
+        around = _mix((sums[b - low] - sums[a - low]) * _powers.down[a - low] + (b - a).astype(_U) * _U(0xD6E8FEB86659FD93) + (at - a).astype(_U))
+        found.append((at, h[at - low], around))
+    if not found:
         return np.empty(0, np.int64), np.empty(0, _U), np.empty(0, _U)
-    sums = prefix_hashes(data)
-    h = _mix((sums[core:] - sums[:-core]) * _powers.down[: n - core + 1])
-    least = _least(h, slack + 1)
-    # A place is chosen if one of the windows that hold its core has no lesser hash.
-    edge = np.zeros(slack, _U)
-    at = np.flatnonzero(_least(np.concatenate([edge, least, edge]), slack + 1, np.maximum) == h)
-    a, b = np.maximum(at - slack, 0), np.minimum(at + length, n)
-    around = _mix((sums[b] - sums[a]) * _powers.down[a] + (b - a).astype(_U) * _U(0xD6E8FEB86659FD93) + (at - a).astype(_U))
-    return at, h[at], around
+    at, key, around = (np.concatenate(x) for x in zip(*found))
+    at, kept = np.unique(at, return_index=True)
+    return at, key[kept], around[kept]
 
 
 def _merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

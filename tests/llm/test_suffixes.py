@@ -66,6 +66,15 @@ def test_large_groups_are_refined(spark, monkeypatch, group, hot):
     assert run(spark, texts, 60) == brute(texts, 60)
 
 
+def test_anchors_do_not_depend_on_the_step():
+    rng = random.Random(9)
+    for n in (0, 19, 20, 21, 300, 1000):
+        data = np.array([rng.choice(b"abc") for _ in range(n)], np.uint8)
+        whole = suffixes.anchors(data, 20, 6)
+        for step in (1, 7, 64):
+            assert all((a == b).all() for a, b in zip(whole, suffixes.anchors(data, 20, 6, step)))
+
+
 def test_sort_survives_colliding_hashes():
     rng = random.Random(3)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 9))) for _ in range(200)]
