@@ -222,9 +222,103 @@ def written(simhash: Column) -> Column:
     return F.lower(F.lpad(F.hex(simhash), 16, "0"))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with one row of every component, that of the least id; of rows with that id any one, all columns from it. Rows with a null id stay."""
-    component = common.fresh(df, "__component")
-    kept = with_components(df, id_col, text_col, common.fresh(df, "__simhash"), component).where(F.col(component) == common.col(id_col)).select(F.col(component)).distinct()
-    rows = df.where(common.col(id_col).isNotNull()).join(kept, common.col(id_col) == F.col(component), "left_semi").dropDuplicates([id_col])
+# Similar texts: wide SimHashes, where 64 bits can't tell a similarity of 0.8 from one of 0.5.
+
+WIDE_SHINGLE = 5
+SIMILARITY = 0.8
+#: Entries of four positional bytes in the index of words, and 64-bit words of the SimHash of shingles.
+LISTS, VERIFY_WORDS = 40, 20
+_STEPS = np.random.Generator(np.random.PCG64(31)).integers(1, 1 << 63, size=LISTS, dtype=np.uint64)
+
+
+def _bits(features: list[bytes], words: int) -> np.ndarray:
+    """SimHash of a set of features in so many 64-bit words, as bytes: a bit is 1 if set in over half of their hashes."""
+    import xxhash
+
+    distinct = sorted(set(features))
+    h = np.fromiter((xxhash.xxh64_intdigest(f, SEED) for f in distinct), np.uint64, len(distinct))
+    counts = np.zeros(64 * words, np.int64)
+    for at in range(0, len(h), 1024):
+        x = h[at : at + 1024, None] + _STEPS[None, :words]
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        counts += np.unpackbits(x.view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(h))
+
+
+def wide(text: str | None) -> tuple[np.ndarray, bytes]:
+    """LISTS 32-bit index entries from the words of a text, and the SimHash of its shingles of five words; a shorter text is one shingle."""
+    ws = (text or "").encode().lower().split()
+    shingles = [b" ".join(ws[i : i + WIDE_SHINGLE]) for i in range(max(1, len(ws) - WIDE_SHINGLE + 1))]
+    return _bits(ws, LISTS // 2).view(np.int32), _bits(shingles, VERIFY_WORDS).tobytes()
+
+
+WIDE = T.StructType([T.StructField(n, T.LongType()) for n in ("id", "node", "fp")] + [T.StructField("entries", T.ArrayType(T.IntegerType())), T.StructField("bits", T.BinaryType())])
+
+
+def _wide_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            texts = part.column(2).to_pylist()
+            found = [wide(t) for t in texts]
+            arrays = [pa.array([fingerprint(t) for t in texts], pa.int64()), pa.array([e.tolist() for e, _ in found], pa.list_(pa.int32())), pa.array([b for _, b in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *arrays], names=WIDE.names)
+
+
+def most_differing(similarity: float) -> int:
+    """Bits that the SimHashes of two sets of this Jaccard similarity may differ in: by the angle between sets of equal size, and two standard deviations."""
+    n, share = 64 * VERIFY_WORDS, np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return round(n * share + 2 * np.sqrt(n * share * (1 - share)))
+
+
+def similar_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): links of similar texts. ``rows`` has node (long, one for each different text), entries and bits.
+
+    Every list of the index compares its members with one of them, another one
+    in every list, so a list of n gives n - 1 pairs; of these the SimHashes of
+    shingles are verified.
+    """
+    turns = F.from_json(F.lit(str([int(x) for x in (_STEPS >> np.uint64(1))])), "array<bigint>")
+    postings = rows.select("node", F.posexplode("entries").alias("list", "entry"))
+    turned = F.col("node").bitwiseXOR(F.get(turns, F.col("list")))
+    centres = postings.groupBy("list", "entry").agg(F.count("*").alias("n"), F.min(turned).alias("m")).where(F.col("n") > 1)
+    centres = common.cut(centres.select("list", "entry", F.col("m").bitwiseXOR(F.get(turns, F.col("list"))).alias("centre")))
+    pairs = postings.join(centres, ["list", "entry"]).where(F.col("node") != F.col("centre")).select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    most = most_differing(similarity)
+
+    @F.pandas_udf(T.BooleanType())
+    def near(left: pd.Series, right: pd.Series) -> pd.Series:
+        if not len(left):
+            return pd.Series([], dtype=bool)
+        x, y = (np.frombuffer(b"".join(c), np.uint64).reshape(-1, VERIFY_WORDS) for c in (left, right))
+        return pd.Series(np.bitwise_count(x ^ y).sum(1) <= most)
+
+    of_a, of_b = rows.select(F.col("node").alias("a"), F.col("bits").alias("bits_a")), rows.select(F.col("node").alias("b"), F.col("bits").alias("bits_b"))
+    return common.cut(pairs.join(of_a, "a").join(of_b, "b").where(near("bits_a", "bits_b")).select("a", "b"))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``df`` with one row of every group of near-duplicates, that of the least id; of rows with that id any one, all columns from it.
+
+    Rows are grouped if their texts are equal, if their 64-bit SimHashes are
+    linked as above, or if their texts' shingles of five words are similar.
+    Texts without words are equal to each other. Rows with a null id stay.
+    """
+    group = common.fresh(df, "__group")
+    docs = df.select(common.col(id_col).alias("id"), F.xxhash64(common.col(text_col)).alias("node"), common.col(text_col).alias("text")).where(F.col("id").isNotNull())
+    rows = docs.mapInArrow(_wide_rows, WIDE).withColumn("node", F.when(F.col("fp") == 0, F.lit(0)).otherwise(F.col("node")))
+    rows = common.cut(rows)
+    ids = rows.groupBy("node", "fp").agg(F.min("id").alias("least"))
+    firsts = common.cut(rows.where(F.col("fp") != 0).groupBy("node").agg(F.first("entries").alias("entries"), F.first("bits").alias("bits")))
+    of_fp = ids.groupBy("fp").agg(F.min("node").alias("first"))
+    same = ids.join(of_fp, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    linked = links(of_fp.select("fp"))
+    x, y = of_fp.select(F.col("fp").alias("a"), F.col("first").alias("x")), of_fp.select(F.col("fp").alias("b"), F.col("first").alias("y"))
+    close = linked.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    roots = graph.components(same.unionByName(close).unionByName(similar_links(firsts, similarity)))
+    members = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = members.groupBy("root").agg(F.min("least").alias(group)).select(group).distinct()
+    rows = df.where(common.col(id_col).isNotNull()).join(kept, common.col(id_col) == F.col(group), "left_semi").dropDuplicates([id_col])
     return rows.unionByName(df.where(common.col(id_col).isNull()))

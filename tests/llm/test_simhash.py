@@ -89,3 +89,23 @@ def test_documents(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.collect())[:1] == [(False, 10)]
     assert sum(r["doc_id"] == 10 for r in kept.collect()) == 1
     assert simhash.with_components(df.limit(0)).count() == 0
+
+
+def test_similar_texts_are_dropped(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(5000)]
+    bases = [[rng.choice(words) for _ in range(250)] for _ in range(12)]
+    rows, near, far = [], set(), set()
+    for k, base in enumerate(bases):
+        rows.append((k, " ".join(base)))
+        for copy, edits in enumerate((1, 2, 4, 60)):
+            ws = list(base)
+            for i in rng.sample(range(250), edits):
+                ws[i] = rng.choice(words)
+            i = 100 + 10 * k + copy
+            rows.append((i, " ".join(ws)))
+            (far if edits == 60 else near).add(i)  # up to four edits: similarity above 0.85; sixty: below 0.3
+    rows += [(900 + i, "short text here") for i in range(3)] + [(950, "short text there")]
+    got = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == set(range(12)) | far | {900, 950}
+    assert simhash.most_differing(1.0) == 0
