@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 
 from . import common
 
-MAX_STATES = 40_000
-MEMO_PIECES = 250_000
-MEMO_PAIRS = 300_000
+MAX_STATES = 50_000
+MEMO_PIECES = 350_000
+MEMO_PAIRS = 600_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
