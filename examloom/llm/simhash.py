@@ -15,7 +15,7 @@ beyond ``BLOCK`` entries it is dealt out as pairs of blocks over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -222,102 +222,245 @@ def written(simhash: Column) -> Column:
     return F.lower(F.lpad(F.hex(simhash), 16, "0"))
 
 
-# Similar texts: wide SimHashes, where 64 bits can't tell a similarity of 0.8 from one of 0.5.
+# Similar texts: exact Jaccard similarity of their shingles, where 64 bits can't tell one of 0.8 from one of 0.5.
+#
+# Shingles are ordered, the frequent ones last. If two sets are similar enough,
+# the first shingle they share comes early in both: enough of each must be left
+# from there on. Only such prefixes are indexed, and only pairs that can still
+# reach the similarity from a shared shingle on are looked at.
 
 WIDE_SHINGLE = 5
 SIMILARITY = 0.8
-#: Entries of four positional bytes in the index of words, and 64-bit words of the SimHash of shingles.
-LISTS, VERIFY_WORDS = 40, 20
-_STEPS = np.random.Generator(np.random.PCG64(31)).integers(1, 1 << 63, size=LISTS, dtype=np.uint64)
+#: Bytes of text whose shingles are counted for the order; shingles seen less often there count as rare.
+SAMPLE_BYTES, FREQUENT = 32 << 20, 4
+#: Lists of the index up to this length give all their pairs; longer ones are dealt out as pairs of blocks of so many shingles.
+SHORT_LIST, BLOCK_SHINGLES = 32, 1 << 18
+#: Each makes another member of a long list the one that all others are compared with first.
+TURNS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x3C6EF372FE94F82A)
 
 
-def _bits(features: list[bytes], words: int) -> np.ndarray:
-    """SimHash of a set of features in so many 64-bit words, as bytes: a bit is 1 if set in over half of their hashes."""
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted different 64-bit hashes of a text's shingles of five words; a shorter text is one shingle."""
     import xxhash
 
-    distinct = sorted(set(features))
-    h = np.fromiter((xxhash.xxh64_intdigest(f, SEED) for f in distinct), np.uint64, len(distinct))
-    counts = np.zeros(64 * words, np.int64)
-    for at in range(0, len(h), 1024):
-        x = h[at : at + 1024, None] + _STEPS[None, :words]
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        counts += np.unpackbits(x.view(np.uint8), axis=1).sum(0, dtype=np.int64)
-    return np.packbits(counts * 2 > len(h))
-
-
-def wide(text: str | None) -> tuple[np.ndarray, bytes]:
-    """LISTS 32-bit index entries from the words of a text, and the SimHash of its shingles of five words; a shorter text is one shingle."""
     ws = (text or "").encode().lower().split()
-    shingles = [b" ".join(ws[i : i + WIDE_SHINGLE]) for i in range(max(1, len(ws) - WIDE_SHINGLE + 1))]
-    return _bits(ws, LISTS // 2).view(np.int32), _bits(shingles, VERIFY_WORDS).tobytes()
-
-
-WIDE = T.StructType([T.StructField(n, T.LongType()) for n in ("id", "node", "fp")] + [T.StructField("entries", T.ArrayType(T.IntegerType())), T.StructField("bits", T.BinaryType())])
-
-
-def _wide_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            texts = part.column(2).to_pylist()
-            found = [wide(t) for t in texts]
-            arrays = [pa.array([fingerprint(t) for t in texts], pa.int64()), pa.array([e.tolist() for e, _ in found], pa.list_(pa.int32())), pa.array([b for _, b in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *arrays], names=WIDE.names)
-
-
-def most_differing(similarity: float) -> int:
-    """Bits that the SimHashes of two sets of this Jaccard similarity may differ in: by the angle between sets of equal size, and two standard deviations."""
-    n, share = 64 * VERIFY_WORDS, np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return round(n * share + 2 * np.sqrt(n * share * (1 - share)))
-
-
-def similar_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b): links of similar texts. ``rows`` has node (long, one for each different text), entries and bits.
+    joined = b" ".join(ws)
+    if len(ws) <= WIDE_SHINGLE:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, ws), np.int64, len(ws)) + 1)
+    starts = np.concatenate(([0], ends[:-1]))[: len(ws) - WIDE_SHINGLE + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[s : e - 1], SEED) for s, e in zip(starts, ends[WIDE_SHINGLE - 1 :].tolist())], np.uint64))
+
+
+def most_differing(similarity: float, total=1):
+    """Shingles that lie in one only of two sets of this Jaccard similarity, at most, if the sets have ``total`` together."""
+    return (1 - similarity) / (1 + similarity) * total
+
+
+def least_shared(similarity: float, total):
+    """Shingles that two sets of this Jaccard similarity share, at least, if they have ``total`` together."""
+    return (total - most_differing(similarity, total)) / 2 - 1e-6
+
+
+def _of_texts(make: Callable[[int, np.ndarray], list[np.ndarray]], names: list[str]):
+    """A function for mapInArrow over (node, text): rows of longs that ``make`` gives for a node and its shingles, once in a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = []
+                for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if node not in seen:
+                        seen.add(node)
+                        found.append(make(node, shingle_set(text)))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).view(np.int64)) for c in zip(*found)], names=names)
+
+    return run
+
+
+def _order(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in a sample of bounded size, sorted, and their counts. Any order finds all pairs; this one keeps lists short."""
+    total = texts.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0
+    sample = texts.where(F.pmod(F.xxhash64("node"), F.lit(int(total // SAMPLE_BYTES) + 1)) == 0)
+    counted = sample.mapInArrow(_of_texts(lambda node, s: [s], ["shingle"]), "shingle long").groupBy("shingle").count().where(F.col("count") >= FREQUENT).toArrow()
+    shingles = counted.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], counted.column("count").to_numpy()[order]
+
+
+def _prefixes(frequent: np.ndarray, counts: np.ndarray, similarity: float):
+    """(shingle, node, place) of the first shingles of every text; place has the set's size in its upper half, and how many are left there in its lower one."""
+
+    def make(node: int, s: np.ndarray) -> list[np.ndarray]:
+        kept = len(s) - int(np.ceil(similarity * len(s) - 1e-6)) + 1
+        if len(frequent):
+            at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+            s = s[np.argsort(np.where(frequent[at] == s, counts[at], 0), kind="stable")]
+        return [s[:kept], np.full(kept, node, np.int64), (len(s) << 32) + len(s) - np.arange(kept)]
+
+    return make
+
+
+INDEX = ["shingle", "node", "place"]
+MET = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b", *INDEX)])
+
+
+def _met(similarity: float):
+    """A function for mapInArrow over the index, sorted by shingle and node: pairs (a, b) to be compared, and the members of long lists that may have further ones."""
+
+    def reach(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.minimum(x & 0xFFFFFFFF, y & 0xFFFFFFFF) >= least_shared(similarity, (x >> 32) + (y >> 32))
+
+    def out(pairs, members=None):
+        n = len(pairs[0]) if members is None else len(members[0])
+        columns = [*pairs, *[pa.nulls(n, pa.int64())] * 3] if members is None else [*[pa.nulls(n, pa.int64())] * 2, *members]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=MET.names)
+
+    def lists(shingle, node, place):
+        other = np.concatenate(([True], (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])))
+        shingle, node, place = shingle[other], node[other], place[other]
+        starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+        sizes = np.diff(np.append(starts, len(shingle)))
+        for start, size in zip(starts[sizes > SHORT_LIST].tolist(), sizes[sizes > SHORT_LIST].tolist()):
+            x, p = node[start : start + size], place[start : start + size]
+            if size <= BLOCK:
+                some = np.array([np.count_nonzero(reach(p[i], p)) > (reach(p[i], p[i])) for i in range(size)])
+                x, p = x[some], p[some]
+            if len(x) > 1:
+                # Most members of a group are linked to one of few; the others are left to the blocks.
+                centre = int(np.argmin(x ^ TURNS[shingle[start] % len(TURNS)]))
+                near = reach(p[centre], p) & (x != x[centre])
+                yield out((np.maximum(x[near], x[centre]), np.minimum(x[near], x[centre])))
+                yield out((), (np.full(len(x), shingle[start]), x, p))
+        left = np.repeat(np.where(sizes > SHORT_LIST, 0, sizes), sizes) - (np.arange(len(shingle)) - np.repeat(starts, sizes)) - 1  # entries after this one in its list
+        for d in range(1, SHORT_LIST):
+            at = np.flatnonzero(left >= d)
+            if not len(at):
+                break
+            at = at[reach(place[at], place[at + d])]
+            if len(at):
+                yield out((np.maximum(node[at], node[at + d]), np.minimum(node[at], node[at + d])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            arrays = [c.to_numpy() for c in batch.columns]
+            if not len(arrays[0]):
+                continue
+            # The last list of a batch may go on in the next one.
+            changes = np.flatnonzero(arrays[0][1:] != arrays[0][:-1])
+            tail = int(changes[-1]) + 1 if len(changes) else 0
+            if held and (tail or held[-1][0][-1] != arrays[0][0]):
+                yield from lists(*[np.concatenate(x) for x in zip(*held, [x[:tail] for x in arrays])])
+                held = []
+            elif tail:
+                yield from lists(*[x[:tail] for x in arrays])
+            held.append([x[tail:] for x in arrays])
+        if held:
+            yield from lists(*[np.concatenate(x) for x in zip(*held)])
 
-    Every list of the index compares its members with one of them, another one
-    in every list, so a list of n gives n - 1 pairs; of these the SimHashes of
-    shingles are verified.
+    return run
+
+
+def _verified(similarity: float):
+    """A function for mapInArrow over (a, b, text of a, text of b): the pairs whose sets of shingles are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = {2: ("", shingle_set("")), 3: ("", shingle_set(""))}
+
+        def of(column: int, text: str) -> np.ndarray:
+            if last[column][0] != text:
+                last[column] = text, shingle_set(text)
+            return last[column][1]
+
+        for batch in batches:
+            near = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                x, y = (of(c, batch.column(c)[i].as_py()) for c in (2, 3))
+                shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                near[i] = shared >= least_shared(similarity, len(x) + len(y))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(near)) for c in batch.columns[:2]], names=["a", "b"])
+
+    return run
+
+
+def _links_of_list_blocks(similarity: float):
+    """Links within one block of a long list or between two, enough of them to keep together what is linked, with the links already known."""
+
+    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        first, second = int(key[1]), int(key[2])
+        node, block = frame["node"].to_numpy(), frame["block"].to_numpy()
+        sets = [shingle_set(t) for t in frame["text"]]
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        ends = np.cumsum(sizes)
+        _, places, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(places, kind="stable")]
+        begins = np.cumsum(counts) - counts
+        _, group = np.unique(frame["root"].to_numpy(), return_inverse=True)
+        a, b = [], []
+        for i in np.flatnonzero(block == first).tolist():
+            mine = places[ends[i] - sizes[i] : ends[i]]
+            n = counts[mine]
+            at = np.repeat(begins[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            near = np.bincount(owners[at], minlength=len(sets)) >= least_shared(similarity, sizes + sizes[i])
+            near &= (block == second) & (group != group[i])
+            for j in np.flatnonzero(near).tolist():
+                if group[j] != group[i]:
+                    group[group == group[j]] = group[i]
+                    a.append(node[i])
+                    b.append(node[j])
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    return run
+
+
+def similar_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): links of texts whose sets of shingles have this Jaccard similarity, enough of them to keep every component together.
+
+    ``texts`` has node (long, the same for equal texts) and text. Every
+    link is verified on the shingles. Pairs of short lists are all compared. In a
+    long list all members are compared with one first; if that leaves more than
+    one component, every two members of different ones are compared, in blocks.
     """
-    turns = F.from_json(F.lit(str([int(x) for x in (_STEPS >> np.uint64(1))])), "array<bigint>")
-    postings = rows.select("node", F.posexplode("entries").alias("list", "entry"))
-    turned = F.col("node").bitwiseXOR(F.get(turns, F.col("list")))
-    centres = postings.groupBy("list", "entry").agg(F.count("*").alias("n"), F.min(turned).alias("m")).where(F.col("n") > 1)
-    centres = common.cut(centres.select("list", "entry", F.col("m").bitwiseXOR(F.get(turns, F.col("list"))).alias("centre")))
-    pairs = postings.join(centres, ["list", "entry"]).where(F.col("node") != F.col("centre")).select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    most = most_differing(similarity)
-
-    @F.pandas_udf(T.BooleanType())
-    def near(left: pd.Series, right: pd.Series) -> pd.Series:
-        if not len(left):
-            return pd.Series([], dtype=bool)
-        x, y = (np.frombuffer(b"".join(c), np.uint64).reshape(-1, VERIFY_WORDS) for c in (left, right))
-        return pd.Series(np.bitwise_count(x ^ y).sum(1) <= most)
-
-    of_a, of_b = rows.select(F.col("node").alias("a"), F.col("bits").alias("bits_a")), rows.select(F.col("node").alias("b"), F.col("bits").alias("bits_b"))
-    return common.cut(pairs.join(of_a, "a").join(of_b, "b").where(near("bits_a", "bits_b")).select("a", "b"))
+    index = texts.mapInArrow(_of_texts(_prefixes(*_order(texts), similarity), INDEX), "shingle long, node long, place long")
+    met = common.cut(index.repartition("shingle").sortWithinPartitions("shingle", "node").mapInArrow(_met(similarity), MET))
+    pairs = common.cut(met.where(F.col("a").isNotNull()).select("a", "b").distinct())
+    long = met.where(F.col("shingle").isNotNull()).select(*INDEX)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node")).distinct()
+    some = common.cut(texts.groupBy("node").agg(F.first("text").alias("text")).join(wanted, "node", "left_semi"))
+    left, right = (some.select(F.col("node").alias(n), F.col("text").alias(f"of_{n}")) for n in "ab")
+    found = common.cut(pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(_verified(similarity), "a long, b long"))
+    if long.isEmpty():
+        return found
+    roots = graph.components(found)
+    members = common.cut(long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    apart = members.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum(F.shiftright("place", 32).cast("double")).alias("n")).where(F.col("x") != F.col("y"))
+    apart = apart.select("shingle", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    dealt = members.join(apart, "shingle").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "shingle", "node", "root", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
+    )
+    more = dealt.join(some, "node").groupBy("shingle", "first", "second").applyInPandas(_links_of_list_blocks(similarity), "a long, b long")
+    return found.unionByName(common.cut(more))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``df`` with one row of every group of near-duplicates, that of the least id; of rows with that id any one, all columns from it.
 
-    Rows are grouped if their texts are equal, if their 64-bit SimHashes are
-    linked as above, or if their texts' shingles of five words are similar.
-    Texts without words are equal to each other. Rows with a null id stay.
+    Rows are grouped if their texts are equal, or if their texts' shingles of
+    five words are similar. Texts without words are equal to each other. Rows
+    with a null id stay.
     """
     group = common.fresh(df, "__group")
-    docs = df.select(common.col(id_col).alias("id"), F.xxhash64(common.col(text_col)).alias("node"), common.col(text_col).alias("text")).where(F.col("id").isNotNull())
-    rows = docs.mapInArrow(_wide_rows, WIDE).withColumn("node", F.when(F.col("fp") == 0, F.lit(0)).otherwise(F.col("node")))
-    rows = common.cut(rows)
-    ids = rows.groupBy("node", "fp").agg(F.min("id").alias("least"))
-    firsts = common.cut(rows.where(F.col("fp") != 0).groupBy("node").agg(F.first("entries").alias("entries"), F.first("bits").alias("bits")))
-    of_fp = ids.groupBy("fp").agg(F.min("node").alias("first"))
-    same = ids.join(of_fp, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    linked = links(of_fp.select("fp"))
-    x, y = of_fp.select(F.col("fp").alias("a"), F.col("first").alias("x")), of_fp.select(F.col("fp").alias("b"), F.col("first").alias("y"))
-    close = linked.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    roots = graph.components(same.unionByName(close).unionByName(similar_links(firsts, similarity)))
+    text = F.coalesce(common.col(text_col), F.lit(""))
+    docs = df.select(common.col(id_col).alias("id"), F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(text)).otherwise(F.lit(0)).alias("node"), text.alias("text"))
+    docs = docs.where(F.col("id").isNotNull())
+    roots = graph.components(similar_links(docs.where(F.col("node") != 0).select("node", "text"), similarity))
+    ids = docs.groupBy("node").agg(F.min("id").alias("least"))
     members = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = members.groupBy("root").agg(F.min("least").alias(group)).select(group).distinct()
     rows = df.where(common.col(id_col).isNotNull()).join(kept, common.col(id_col) == F.col(group), "left_semi").dropDuplicates([id_col])

@@ -109,3 +109,66 @@ def test_similar_texts_are_dropped(spark):
     got = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert got == set(range(12)) | far | {900, 950}
     assert simhash.most_differing(1.0) == 0
+
+
+def shingles(text):
+    ws = text.lower().split()
+    return {" ".join(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))}
+
+
+def brute_groups(rows, similarity=0.8):
+    sets = {i: shingles(t) for i, t in rows}
+    return brute_components(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9)
+
+
+def letters(rng, n, fields=12, size=300):
+    """Form letters: the same words but for some fields; different letters differ in all fields."""
+    form = [f"f{i}" for i in range(size)]
+    at = [size * (2 * k + 1) // (2 * fields) for k in range(fields)]
+    out = []
+    for _ in range(n):
+        ws = list(form)
+        for i in at:
+            ws[i] = f"v{rng.getrandbits(40)}"
+        out.append(ws)
+    return out, at
+
+
+def kept_ids(spark, rows):
+    return {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 64])
+def test_copies_inside_long_lists_are_dropped(spark, monkeypatch, block):
+    """Many copies share the lists of a common form, and only two of them each are similar."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 1 << 14, raising=False)
+    rng = random.Random(21)
+    family, at = letters(rng, 400)
+    rows = [(i, " ".join(ws)) for i, ws in enumerate(family)]
+    for k in range(40):
+        ws = list(family[k])
+        for i in rng.sample(at, 3):
+            ws[i] = f"u{rng.getrandbits(40)}"
+        rows.append((1000 + k, " ".join(ws)))
+    root = brute_groups(rows)
+    assert sum(root[i] != i for i in root) == 40
+    assert kept_ids(spark, rows) == {i for i in root if root[i] == i}
+
+
+def test_groups_of_recombined_texts(spark, monkeypatch):
+    """Texts of the same passages in other choices: long lists with several groups, compared in blocks."""
+    monkeypatch.setattr(simhash, "SHORT_LIST", 3, raising=False)
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 1 << 11, raising=False)
+    rng = random.Random(5)
+    pool = [" ".join(f"p{i}x{j}" for j in range(12)) for i in range(30)]
+    bases = [sorted(rng.sample(range(30), 20)) for _ in range(4)]
+    rows = []
+    for i in range(150):
+        chosen = list(rng.choice(bases))
+        for _ in range(rng.randint(0, 4)):
+            chosen[rng.randrange(20)] = rng.randrange(30)
+        rows.append((i, " ".join(pool[j] for j in chosen)))
+    root = brute_groups(rows)
+    assert 10 < len(set(root.values())) < 140
+    assert kept_ids(spark, rows) == {i for i in root if root[i] == i}
