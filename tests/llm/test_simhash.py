@@ -156,6 +156,23 @@ def test_copies_inside_long_lists_are_dropped(spark, monkeypatch, block):
     assert kept_ids(spark, rows) == {i for i in root if root[i] == i}
 
 
+@pytest.mark.parametrize("how", ["appended", "inserted", "replaced"])
+def test_changed_passages(spark, how):
+    """One contiguous passage differs, by so many words that the similarity lies about 0.8."""
+    rng = random.Random(how)
+    words = [f"w{i}" for i in range(5000)]
+    rows = []
+    for k in range(60):
+        ws, passage = ([rng.choice(words) for _ in range(n)] for n in (250, 10 + k))
+        at = {"appended": 250, "inserted": 100, "replaced": 250 - len(passage) // 2}[how]
+        end = 250 if how == "replaced" else at
+        rows += [(k, " ".join(ws)), (100 + k, " ".join(ws[:at] + passage[: len(passage) if how != "replaced" else 250 - at] + ws[end:]))]
+    root = brute_groups(rows)
+    dropped = {i for i in root if root[i] != i}
+    assert 20 <= len(dropped) < 60
+    assert kept_ids(spark, rows) == set(root) - dropped
+
+
 def test_groups_of_recombined_texts(spark, monkeypatch):
     """Texts of the same passages in other choices: long lists with several groups, compared in blocks."""
     monkeypatch.setattr(simhash, "SHORT_LIST", 3, raising=False)
