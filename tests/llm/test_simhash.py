@@ -189,3 +189,13 @@ def test_groups_of_recombined_texts(spark, monkeypatch):
     root = brute_groups(rows)
     assert 10 < len(set(root.values())) < 140
     assert kept_ids(spark, rows) == {i for i in root if root[i] == i}
+
+
+def test_different_letters_stay(spark):
+    """Letters of one form at similarities from 0.7 to below 0.8 are no copies of each other, however many they are."""
+    rng = random.Random(31)
+    family, _ = letters(rng, 400, fields=9)
+    rows = [(i, " ".join(ws)) for i, ws in enumerate(family)]
+    x, y = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 0.7 < len(x & y) / len(x | y) < 0.8
+    assert kept_ids(spark, rows) == set(range(400))
