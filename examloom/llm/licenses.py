@@ -177,7 +177,11 @@ class Scanner:
             for i in np.lexsort((starts, -held)):
                 a = int(starts[i])
                 b = min(a + t.window, len(ws))
-                if used[a:b].any():
+                if used[a]:
+                    continue
+                # Another match may begin in the window: it ends there.
+                b = a + int(used[a:b].argmax()) if used[a:b].any() else b
+                if np.searchsorted(hits, b) - np.searchsorted(hits, a) < t.need:
                     continue
                 pairs = align(ids[a:b].tolist(), t.ids)
                 if len(pairs) >= t.need:

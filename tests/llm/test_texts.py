@@ -45,6 +45,17 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def test_close_copies_of_a_license_are_all_found():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.THRESHOLD)
+    nc, by, mit = (licenses.TEMPLATES[k] for k in ("CC-BY-NC-4.0-notice", "CC-BY-4.0-notice", "MIT"))
+    cases = [("CC-BY-NC-4.0-notice", f"{nc} Foo. {nc} {nc}", 3), ("CC-BY-4.0-notice", f"{by} Data: {by} This {by}", 3)]
+    cases += [("MIT", f" {' '.join(['the', 'name', 'of', 'any'][:gap])} ".join([mit] * 6), 6) for gap in range(5)]
+    for name, text, n in cases:
+        found = [m for m in scanner.scan(text) if m[0] == name]
+        assert len(found) == n, text[:80]
+        assert all(x[4] <= y[3] for x, y in zip(found, found[1:]))
+
+
 def brute_cover(a, b, least):
     taken_a, taken_b, cover = [v < 0 for v in a], [False] * len(b), 0
     while True:
