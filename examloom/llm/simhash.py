@@ -1,20 +1,22 @@
 """SimHash near-duplicates with a byte-position inverted index (operator 3).
 
 Two 64-bit fingerprints that differ in at most four bits share at least four of
-their eight bytes, each at its own position. Postings are therefore kept for
-every choice of four positions and the four bytes there (70 per fingerprint):
-lists of single bytes would each hold 1/256 of the corpus. Where two
-fingerprints meet, the tally of their shared positional bytes is at least the
-guaranteed four, and of all lists in which they meet only that of their first
-four shared positions counts the pair; the bits are then compared.
+their eight bytes, each at its own position. Lists of single bytes would each
+hold 1/256 of the corpus, so postings are kept for every choice of three
+positions and the three bytes there (56 per fingerprint). Where two fingerprints
+meet, the shared positional bytes of the pair are tallied; pairs below the
+guaranteed four are dropped, and the bits of the rest are compared. Of all lists
+in which a pair meets, only that of its first three shared positions counts it.
 
 Only different fingerprints are indexed, so a group of copies is one entry. A
-long list is not paired out: it gives a spanning forest of its links, and
-beyond ``BLOCK`` entries it is dealt out as pairs of blocks over many tasks.
+long list is not paired out: it gives a spanning forest of its links. Beyond
+``BLOCK`` entries it is split by every fourth position, as a pair must share one
+more, and what is still longer is dealt out as pairs of blocks over many tasks.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -35,7 +37,9 @@ BLOCK = 4096
 #: Lists up to this length are paired as they are.
 SHORT = 16
 
-POSITIONS = tuple(combinations(range(8), 8 - MOST_BITS))
+#: Bytes that linked fingerprints share, at least, and positions of a list.
+LEAST_SHARED, LISTED = 8 - MOST_BITS, 3
+POSITIONS = tuple(combinations(range(8), LISTED))
 
 
 def _byte_mask(positions) -> int:
@@ -43,6 +47,8 @@ def _byte_mask(positions) -> int:
 
 
 MASKS = np.array([_byte_mask(c) for c in POSITIONS], np.uint64)
+#: By choice, the masks that add one position to it.
+WIDER = [[int(np.uint64(_byte_mask((*c, p))).view(np.int64)) for p in range(8) if p not in c] for c in POSITIONS]
 #: Positions before the last one of a choice that are not in it: a pair that shares one of these counts elsewhere.
 OTHERS = np.array([[1 if p < max(c) and p not in c else 0 for p in range(8)] for c in POSITIONS], np.uint8)
 
@@ -81,17 +87,20 @@ def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "simhash"
     return df.withColumn(out_col, of(common.col(text_col)))
 
 
-def _linked(choice: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which pairs of fingerprints, met in the lists of these choices, count here and differ in few enough bits."""
+def _linked(x: np.ndarray, y: np.ndarray, choice: np.ndarray | None = None) -> np.ndarray:
+    """Which pairs share enough bytes and differ in few enough bits; with ``choice``, only those that count in the lists of these choices."""
     differ = x ^ y
-    near = np.bitwise_count(differ) <= MOST_BITS
+    shared = differ.view(np.uint8).reshape(-1, 8) == 0  # little-endian: byte p is position p
+    near = shared.sum(1) >= LEAST_SHARED
     here = np.flatnonzero(near)
-    shared = differ[here].view(np.uint8).reshape(-1, 8) == 0  # little-endian: byte p is position p
-    near[here] = ~(shared & OTHERS[choice[here]].astype(bool)).any(1)
+    near[here] = np.bitwise_count(differ[here]) <= MOST_BITS
+    if choice is not None:
+        here = np.flatnonzero(near)
+        near[here] = ~(shared[here] & OTHERS[choice[here]].astype(bool)).any(1)
     return near
 
 
-def _forest(choice: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _forest(left: np.ndarray, right: np.ndarray, choice: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between two arrays of fingerprints, or within one (left is right)."""
     nodes = left if left is right else np.concatenate([left, right])
     parent = list(range(len(nodes)))
@@ -106,7 +115,7 @@ def _forest(choice: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarra
     a, b = [], []
     for i in range(len(left)):
         others = right[i + 1 :] if left is right else right
-        near = np.flatnonzero(_linked(np.full(len(others), choice), np.full(len(others), left[i]), others))
+        near = np.flatnonzero(_linked(others, left[i], None if choice is None else np.full(len(others), choice)))
         for j in near.tolist():
             j += i + 1 if left is right else shift
             p, q = find(i), find(j)
@@ -137,13 +146,13 @@ def _links_of_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if len(part) > BLOCK:
                 yield out(part, np.full(len(part), masked[start]), np.full(len(part), choice[start], np.int32))
             else:
-                yield out(*_forest(int(choice[start]), part, part))
+                yield out(*_forest(part, part, int(choice[start])))
         left = np.repeat(np.where(sizes > SHORT, 0, sizes), sizes) - (np.arange(len(fp)) - np.repeat(starts, sizes)) - 1  # entries after this one in its list
         for d in range(1, SHORT):
             at = np.flatnonzero(left >= d)
             if not len(at):
                 break
-            near = _linked(choice[at], fp[at], fp[at + d])
+            near = _linked(fp[at], fp[at + d], choice[at])
             if near.any():
                 yield out(fp[at[near]], fp[at[near] + d])
 
@@ -170,11 +179,11 @@ def _links_of_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _links_of_blocks(key, frame: pd.DataFrame) -> pd.DataFrame:
     """Links within one block of a long list or between two."""
-    choice, first, second = int(key[0]), int(key[2]), int(key[3])
+    first, second = int(key[1]), int(key[2])
     fp = frame["fp"].to_numpy().view(np.uint64)
     block = frame["block"].to_numpy()
     left = fp[block == first]
-    a, b = _forest(choice, left, left if first == second else fp[block == second])
+    a, b = _forest(left, left if first == second else fp[block == second])
     return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
 
@@ -185,16 +194,20 @@ def links(fps: DataFrame) -> DataFrame:
     found = postings.repartition("choice", "masked").sortWithinPartitions("choice", "masked").mapInArrow(_links_of_lists, LINKS)
     found = common.cut(found)
     short = found.where(F.col("choice").isNull()).select("a", "b")
-    long = found.where(F.col("choice").isNotNull()).select("choice", F.col("b").alias("masked"), F.col("a").alias("fp"))
+    long = found.where(F.col("choice").isNotNull()).select("choice", F.col("a").alias("fp"))
     if long.isEmpty():
         return short
+    # Members of a long list go on to those of one position more; what several lists come to is one list.
+    wider = F.element_at(F.from_json(F.lit(json.dumps(WIDER)), "array<array<bigint>>"), F.col("choice") + 1)
+    split = long.select("fp", F.explode(wider).alias("mask")).select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("masked")).distinct()
+    split = split.select(F.struct("mask", "masked").alias("bytes"), "fp")
     # Blocks by hash of the fingerprint; every pair of blocks is a group of its own.
-    sizes = long.groupBy("choice", "masked").agg(F.ceil(F.count("*") / (BLOCK // 2)).cast("int").alias("blocks"))
-    dealt = long.join(sizes, ["choice", "masked"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    sizes = split.groupBy("bytes").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("bytes", F.ceil(F.col("n") / (BLOCK // 2)).cast("int").alias("blocks"))
+    dealt = split.join(sizes, "bytes").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "choice", "masked", "fp", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
+        "bytes", "fp", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
     )
-    return short.unionByName(pairs.groupBy("choice", "masked", "first", "second").applyInPandas(_links_of_blocks, "a long, b long"))
+    return short.unionByName(pairs.groupBy("bytes", "first", "second").applyInPandas(_links_of_blocks, "a long, b long"))
 
 
 def with_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fp_col: str = "simhash", component_col: str = "component_id") -> DataFrame:
