@@ -8,7 +8,8 @@ it many times over, so only suffixes at anchors are sorted:
    bytes) of a text. In each window of ``length`` bytes the core of the least
    hash is the anchor, so equal windows have equal anchors at equal offsets.
 2. Anchors meet by core. Where the whole surroundings of an anchor (all
-   windows that hold it) occur twice, they are covered. Where a core occurs
+   windows that hold it) occur twice, by two independent hashes, a polynomial
+   one of the core and XXH3 of the surroundings, they are covered. Where a core occurs
    with different surroundings only, the match ends nearby: these anchors
    fetch their surroundings.
 3. The suffixes that start at such anchors, and the prefixes before them read
@@ -100,8 +101,10 @@ def anchors(data: np.ndarray, length: int, slack: int, step: int = STEP) -> tupl
     ``step`` windows are looked at together, so that a very long text takes no
     more memory than a shorter one; the anchors are the same for every step.
     """
+    import xxhash
+
     n, core = len(data), length - slack
-    found = []
+    found, view = [], memoryview(data)
     for first in range(0, n - length + 1, step):
         last = min(first + step, n - length + 1)
         low = max(0, first - slack)
@@ -114,7 +117,8 @@ def anchors(data: np.ndarray, length: int, slack: int, step: int = STEP) -> tupl
         edge = np.zeros(slack, _U)
         at = np.flatnonzero(_least(np.concatenate([edge, least, edge]), slack + 1, np.maximum) == inside) + first
         a, b = np.maximum(at - slack, 0), np.minimum(at + length, n)
-        around = _mix((sums[b - low] - sums[a - low]) * _powers.down[a - low] + (b - a).astype(_U) * _U(0xD6E8FEB86659FD93) + (at - a).astype(_U))
+        # A hash of another kind than the core's, over the bytes themselves.
+        around = np.fromiter((xxhash.xxh3_64_intdigest(view[x:y], z) for x, y, z in zip(a.tolist(), b.tolist(), (at - a).tolist())), _U, len(at))
         found.append((at, h[at - low], around))
     if not found:
         return np.empty(0, np.int64), np.empty(0, _U), np.empty(0, _U)
