@@ -18,18 +18,19 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
 
-#: Words of a seed, and so of the shortest tile. Three word numbers fit one 64-bit integer without collisions.
+#: Words of a seed, and so of the shortest tile.
 LEAST = 3
 THRESHOLD = 0.8
-#: Items are sent to the executors in blocks of at most so many characters; every block meets every document.
-BLOCK_CHARS = 8_000_000
-_BITS = 21
+#: Items are sent to the executors in blocks of at most so many characters (an item beyond that is a block of its own), at most
+#: so many blocks at once; every block meets every document.
+BLOCK_CHARS, BLOCKS_AT_ONCE = 8_000_000, 4
 
 _WORD = re.compile(r"[^\W_]+")
 _BASE, _PRIME = 1_000_003, (1 << 61) - 1
@@ -39,6 +40,16 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _seeds(ids: np.ndarray) -> np.ndarray:
+    """64-bit hashes of all stretches of LEAST word numbers. Seeds only say where tiles can lie, so a collision does no harm."""
+    with np.errstate(over="ignore"):
+        h = np.zeros(len(ids) - LEAST + 1, np.uint64)
+        for k in range(LEAST):
+            h = (h + ids[k : len(ids) - LEAST + 1 + k].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(32)
+    return h
+
+
 def _runs(marked: bytearray, least: int) -> list[tuple[int, int]]:
     """Stretches of at least so many unmarked places."""
     out, at, n = [], 0, len(marked)
@@ -124,20 +135,19 @@ class Index:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(text or "")]
             if ids:
                 self.items.append((item_id, ids))
-        if len(self.vocabulary) >= 1 << _BITS:
-            raise ValueError("a block of items holds too many different words")
-        seeds, owners, places = [], [], []
+        seeds, owners, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         self.short: dict[int, list[int]] = {}  # items below LEAST words, by their first word
         for k, (_, ids) in enumerate(self.items):
             if len(ids) < LEAST:
                 self.short.setdefault(ids[0], []).append(k)
-            for i in range(len(ids) - LEAST + 1):
-                seeds.append(ids[i] << 2 * _BITS | ids[i + 1] << _BITS | ids[i + 2])
-                owners.append(k)
-                places.append(i)
-        order = np.argsort(np.array(seeds, np.int64), kind="stable")
-        self.keys, self.first, self.count = np.unique(np.array(seeds, np.int64)[order], return_index=True, return_counts=True)
-        self.owners, self.places = np.array(owners, np.int64)[order], np.array(places, np.int64)[order]
+                continue
+            seeds.append(_seeds(np.array(ids, np.int64)))
+            owners.append(np.full(len(seeds[-1]), k))
+            places.append(np.arange(len(seeds[-1])))
+        seeds, owners, places = np.concatenate(seeds), np.concatenate(owners), np.concatenate(places)
+        order = np.argsort(seeds, kind="stable")
+        self.keys, self.first, self.count = np.unique(seeds[order], return_index=True, return_counts=True)
+        self.owners, self.places = owners[order], places[order]
 
     def hits(self, text: str | None) -> list[tuple[Any, float, int, int]]:
         """(item, coverage, tiles, first word of the text in a tile) of all items covered up to the threshold."""
@@ -150,7 +160,7 @@ class Index:
         at = np.flatnonzero(known[:-2] & known[1:-1] & known[2:]) if len(ids) >= LEAST else np.empty(0, np.int64)
         if not len(at) or not len(self.keys):
             return out
-        seeds = ids[at] << 2 * _BITS | ids[at + 1] << _BITS | ids[at + 2]
+        seeds = _seeds(ids)[at]
         key = np.searchsorted(self.keys, seeds)
         key[key == len(self.keys)] = 0
         met = self.keys[key] == seeds
@@ -229,23 +239,31 @@ def with_hits(
 
     The benchmark is the query set: it goes to the executors in blocks of
     bounded size and each block meets every document, so documents are neither
-    shuffled nor left out. A null or empty text has no hits, nor has any text
+    shuffled nor left out. No more than ``BLOCKS_AT_ONCE`` blocks are held by the
+    driver or an executor: a benchmark of more is met in passes, between which
+    the documents with the hits so far are written to the shared folder. A null or empty text has no hits, nor has any text
     if the benchmark is empty; items without words are never found, those
     below ``LEAST`` words only whole; repeated items and documents count each.
     An existing ``out_col`` is replaced, other columns pass through.
     """
     item_type = benchmark.select(common.col(item_id_col)).schema[0].dataType
     kind = T.ArrayType(T.StructType([T.StructField("item_id", item_type), T.StructField("coverage", T.DoubleType()), T.StructField("tiles", T.IntegerType()), T.StructField("first_word", T.IntegerType())]))
-    found: list[Column] = []
-    for block in _blocks(benchmark, item_id_col, item_text_col):
-        found.append(_hits_column(docs, block, kind, threshold)(common.col(text_col)))
-    hits = F.lit(None).cast(kind) if not found else F.concat(*found) if len(found) > 1 else found[0]
-    return docs.withColumn(out_col, F.coalesce(hits, F.array().cast(kind)))
-
+    before = common.fresh(docs, "__before")
+    result = docs.withColumn(before, F.array().cast(kind))
+    sent: list[Broadcast] = []
+    for i, block in enumerate(_blocks(benchmark, item_id_col, item_text_col)):
+        if i and i % BLOCKS_AT_ONCE == 0:
+            result = common.written(result)
+            for b in sent:
+                b.destroy()
+            sent = []
+        sent.append(docs.sparkSession.sparkContext.broadcast(block))
+        hits = _hits_column(sent[-1], kind, threshold)(common.col(text_col))
+        result = result.withColumn(before, F.concat(before, hits) if i else hits)
+    return result.withColumn(out_col, F.col(before)).drop(before)
 
-def _hits_column(docs: DataFrame, block: list[tuple[Any, str]], kind: T.DataType, threshold: float):
-    sent = docs.sparkSession.sparkContext.broadcast(block)
 
+def _hits_column(sent: Broadcast, kind: T.DataType, threshold: float):
     @F.pandas_udf(kind)
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = Index(sent.value, threshold)
@@ -257,6 +275,6 @@ def _hits_column(docs: DataFrame, block: list[tuple[Any, str]], kind: T.DataType
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
+    """The rows of ``docs`` that hold no benchmark item; texts without words, nulls too, hold none. Rows and columns as in ``with_hits``."""
     hits = common.fresh(docs, "__hits")
     return with_hits(docs, benchmark, text_col, item_id_col, item_text_col, hits, threshold).where(F.size(hits) == 0).drop(hits)
