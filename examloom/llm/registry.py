@@ -106,7 +106,7 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's URL."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urls.judge(pages, urls.fit(urls.LABELLED)).drop("url")
+    return urls.judge(pages, urls.default_model()).drop("url")
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,5 +128,5 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op9_url_filter": urls.judge_sql(urls.fit(urls.LABELLED)),
+    "op9_url_filter": urls.judge_sql(urls.default_model()),
 }
