@@ -22,15 +22,25 @@ from pyspark.sql import types as T
 
 from . import common
 
-BLOCK_BYTES = 1000
-DICTIONARY_BYTES = 65_536
-LEVEL = 3
+
+@dataclass(frozen=True)
+class Settings:
+    """Bytes of a block, bytes of a dictionary, compression level, bytes added to a text's length when its difference is normalised, whether lines of both labels are left out of the dictionaries, and whether shortness is an input of the curve."""
+
+    block: int = 500
+    dictionary: int = 65_536
+    level: int = 3
+    damping: int = 256
+    own_lines: bool = True
+    short: bool = True
+
+
+SETTINGS = Settings()
 #: Bounds of the sample that is fitted on the driver: rows of each label, and the longest text in it.
 SAMPLE_ROWS = 1_500
 SAMPLE_TEXT_BYTES = 32_768
+#: Blocks of a dictionary's texts that train it, at most; more are thinned evenly.
 SAMPLE_BLOCKS = 4_000
-#: Bytes added to a text's length when its difference is normalised.
-DAMPING = 64
 
 
 @dataclass(frozen=True)
@@ -42,24 +52,25 @@ class Model:
     bias: float
     slope: float
     short: float
+    settings: Settings = SETTINGS
 
 
-def blocks(data: bytes) -> list[bytes]:
-    return [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
+def blocks(data: bytes, size: int) -> list[bytes]:
+    return [data[i : i + size] for i in range(0, len(data), size)]
 
 
-def dictionary(texts: Sequence[bytes]) -> bytes:
+def dictionary(texts: Sequence[bytes], settings: Settings) -> bytes:
     """A trained dictionary; where there is too little text to train one, the text itself."""
     import zstandard
 
-    samples = [b for t in texts for b in blocks(t)]
+    samples = [b for t in texts for b in blocks(t, settings.block)]
     if not samples:
         return b""
     samples = samples[:: max(1, len(samples) // SAMPLE_BLOCKS)]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+        return zstandard.train_dictionary(settings.dictionary, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b"".join(samples)[-DICTIONARY_BYTES:]
+        return b"".join(samples)[-settings.dictionary :]
 
 
 class Scorer:
@@ -68,22 +79,24 @@ class Scorer:
     def __init__(self, model: Model):
         import zstandard
 
-        self.model = model
+        self.model, level = model, model.settings.level
         self.pair = None
         if model.good and model.bad:
             self.pair = []
             for content in (model.good, model.bad):
                 d = zstandard.ZstdCompressionDict(content)
-                d.precompute_compress(level=LEVEL)
-                self.pair.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False).compress)
+                d.precompute_compress(level=level)
+                self.pair.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_dict_id=False).compress)
 
     def features(self, data: bytes) -> tuple[float, float]:
         """The normalised difference (bytes saved by the good dictionary over the bad one) and shortness, 1 for no text and near 0 for long ones."""
-        n = len(data) + DAMPING
+        settings = self.model.settings
+        n = len(data) + settings.damping
+        shortness = settings.damping / n if settings.short and n else 0.0
         if self.pair is None or not data:
-            return 0.0, DAMPING / n
+            return 0.0, shortness
         good, bad = self.pair
-        return sum(len(bad(b)) - len(good(b)) for b in blocks(data)) / n, DAMPING / n
+        return sum(len(bad(b)) - len(good(b)) for b in blocks(data, settings.block)) / n, shortness
 
     def score(self, text: str | None) -> float:
         difference, shortness = self.features((text or "").encode())
@@ -115,18 +128,19 @@ def _curve(points: Sequence[tuple[tuple[float, float], int]], start: float) -> t
     return float(w[0] - (slopes * mean).sum()), float(slopes[0]), float(slopes[1])
 
 
-def fit(rows: Sequence[tuple[str, int]]) -> Model:
+def fit(rows: Sequence[tuple[str, int]], settings: Settings = SETTINGS) -> Model:
     """A model from (text, label) rows: every other row of a label builds its dictionary, the rest fit the curve."""
     by_label = [[t.encode() for t, y in rows if y == label and t] for label in (0, 1)]
     rate = (len(by_label[1]) + 1) / (len(by_label[0]) + len(by_label[1]) + 2)
     bias = math.log(rate / (1 - rate))
     if not all(by_label):
-        return Model(b"", b"", bias, 0.0, 0.0)
+        return Model(b"", b"", bias, 0.0, 0.0, settings)
     bad_lines, good_lines = ({line for t in texts for line in t.split(b"\n")} for texts in by_label)
-    bad, good = (dictionary(_own_lines(texts[::2], bad_lines & good_lines)) for texts in by_label)
-    scorer = Scorer(Model(good, bad, 0.0, 1.0, 0.0))
+    shared = bad_lines & good_lines if settings.own_lines else set()
+    bad, good = (dictionary(_own_lines(texts[::2], shared), settings) for texts in by_label)
+    scorer = Scorer(Model(good, bad, 0.0, 1.0, 0.0, settings))
     points = [(scorer.features(t), label) for label, texts in enumerate(by_label) for t in (texts[1::2] or texts)]
-    return Model(good, bad, *_curve(points, bias))
+    return Model(good, bad, *_curve(points, bias), settings)
 
 
 def remainder(doc_id: Column) -> Column:
