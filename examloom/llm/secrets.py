@@ -4,8 +4,8 @@ Base spans come from three patterns. The method adds spans: in runs of a
 character class (candidate strings) a window of fixed width slides over the
 characters; the counts of the symbols in it are kept up to date as one enters
 and one leaves, and with them the window's Shannon entropy. Overlapping windows
-whose entropy reaches the class's threshold make up one span. Candidates that
-the allow-list matches are suppressed. Entropy is kept in whole numbers, so it
+whose entropy reaches the class's threshold make up one span; windows that hold
+something of the allow-list count for none. Entropy is kept in whole numbers, so it
 does not drift.
 """
 
@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from . import common
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-#: A run of 20 or 24 characters is the first of its kind inside its maximal run, so the length may stand in the pattern.
+#: A run of 20 or 24 characters is the first of its kind inside its maximal run, so the length may stand in the pattern; runs are
+#: only tried from their beginning.
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
-HEX = r"[0-9a-f]{24,}+"
+HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 ASSIGN_LEAST = 6
 
 WINDOW = 20
@@ -31,12 +32,9 @@ ONE = 1 << 20
 #: c * log2(c), scaled, for every count a window can hold.
 TERMS = tuple(round(ONE * c * math.log2(c)) if c else 0 for c in range(WINDOW + 2))
 
-#: Strings that look random but are known not to be secret.
-ALLOWED = (
-    r"(?i)example|sample|placeholder|changeme|redacted|xxxx",
-    r"(?i)0123456789|abcdefgh|qwerty",
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-)
+#: Windows with one of these look random but are known not to be secret; so are whole runs of the second kind.
+ALLOWED = (r"(?i)example|sample|placeholder|changeme|redacted|xxxx", r"(?i)0123456789|abcdefgh|qwerty")
+ALLOWED_RUNS = (r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",)
 
 
 @dataclass(frozen=True)
@@ -57,8 +55,9 @@ class CharClass:
 
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 CLASSES = (
-    CharClass("hexentropy", r"[0-9A-Fa-f]{20,}+", DIGITS + "abcdef" + "ABCDEF", ("[0-9]", "[A-Fa-f]"), 2.9),
-    CharClass("b64entropy", r"[A-Za-z0-9+/_=-]{20,}+", UPPER + LOWER + DIGITS + "+/_=-", ("[0-9]", "[A-Z]", "[a-z]"), 3.7),
+    CharClass("hexentropy", r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{20,}+", DIGITS + "abcdef" + "ABCDEF", ("[0-9]", "[A-Fa-f]"), 2.9),
+    CharClass("b36entropy", r"(?<![A-Z0-9])[A-Z0-9]{20,}+|(?<![a-z0-9])[a-z0-9]{20,}+", UPPER + LOWER + DIGITS, ("[0-9]", "[A-Za-z]"), 3.6),
+    CharClass("b64entropy", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+", UPPER + LOWER + DIGITS + "+/_=-", ("[0-9]", "[A-Z]", "[a-z]"), 3.7),
 )
 SPAN = "array<struct<start:int,end:int>>"
 
@@ -83,8 +82,8 @@ def _placed(matches: Column, gaps: Column) -> Column:
     return F.when(F.size(matches) > 0, F.aggregate(F.sequence(F.lit(1), F.size(matches)), begin, add, lambda at: at["spans"])).otherwise(_none())
 
 
-def _hot_windows(candidate: Column, cls: CharClass) -> Column:
-    """Merged spans, within a candidate, of the windows that reach the threshold."""
+def _hot_windows(candidate: Column, cls: CharClass, allowed: Sequence[str]) -> Column:
+    """Merged spans, within a candidate, of the windows that reach the threshold and hold nothing of the allow-list."""
     terms = F.from_json(F.lit(str(list(TERMS))), "array<int>")
     term = lambda c: F.element_at(terms, c + 1).cast("long")
     symbol = lambda i: F.instr(F.lit(cls.alphabet), F.substring(candidate, i, F.lit(1)))
@@ -100,6 +99,8 @@ def _hot_windows(candidate: Column, cls: CharClass) -> Column:
         )
         counts = F.transform(s["counts"], lambda c, j: c + (j + 1 == enters).cast("int") - (j + 1 == leaves).cast("int"))
         hot = (i >= WINDOW) & (total <= cls.most)
+        for pattern in allowed:
+            hot &= ~F.substring(candidate, i - WINDOW + 1, F.lit(WINDOW)).rlike(pattern)
         touches = hot & (s["end"] > i - WINDOW)
         closed = F.when(hot & ~touches & (s["end"] > 0), F.array_append(s["spans"], _span(s["start"], s["end"]))).otherwise(s["spans"])
         return F.struct(
@@ -131,9 +132,9 @@ def _entropy_spans(text: Column, candidates: Column, placed: Column, cls: CharCl
         suspect = F.lit(True)
         for must in cls.must:
             suspect &= candidate.rlike(must)
-        for pattern in allowed:
+        for pattern in ALLOWED_RUNS:
             suspect &= ~candidate.rlike(pattern)
-        return F.when(suspect, F.transform(_hot_windows(candidate, cls), lambda w: _span(place["start"] + w["start"], place["start"] + w["end"]))).otherwise(_none())
+        return F.when(suspect, F.transform(_hot_windows(candidate, cls, allowed), lambda w: _span(place["start"] + w["start"], place["start"] + w["end"]))).otherwise(_none())
 
     return F.when(F.size(candidates) > 0, F.flatten(F.transform(placed, of))).otherwise(_none())
 
@@ -150,7 +151,7 @@ def scan(df: DataFrame, text_col: str = "text", out_col: str = "secrets", allowe
     empty text has none; repeated rows are scanned each; an existing column
     named ``out_col`` is replaced, all others pass through.
     """
-    names = {k: common.fresh(df, f"__{k}") for k in ("text", *(f"{p}{i}" for p in ("m", "g", "p") for i in range(5)), "values")}
+    names = {k: common.fresh(df, f"__{k}") for k in ("text", *(f"{p}{i}" for p in ("m", "g", "p") for i in range(len(KINDS))), "values")}
     n = lambda k: F.col(names[k])
     patterns = (ASSIGN, ACCESS, HEX, *(c.pattern for c in CLASSES))
     found = df.withColumn(names["text"], F.coalesce(common.col(text_col), F.lit("")))

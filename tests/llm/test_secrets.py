@@ -20,12 +20,13 @@ def brute(text):
     for kind, cls in enumerate(secrets.CLASSES, 3):
         for m in re.finditer(cls.pattern.replace("}+", "}"), text):
             s = m[0]
-            if not all(re.search(x, s) for x in cls.must) or any(re.search(x, s) for x in secrets.ALLOWED):
+            if not all(re.search(x, s) for x in cls.must) or any(re.search(x, s) for x in secrets.ALLOWED_RUNS):
                 continue
             hot = []
             for i in range(len(s) - 19):
                 counts = [s[i : i + 20].count(c) for c in set(s[i : i + 20])]
-                if sum(round(secrets.ONE * c * math.log2(c)) for c in counts) <= cls.most:
+                allowed = any(re.search(x, s[i : i + 20]) for x in secrets.ALLOWED)
+                if sum(round(secrets.ONE * c * math.log2(c)) for c in counts) <= cls.most and not allowed:
                     if hot and hot[-1][1] > i:
                         hot[-1][1] = i + 20
                     else:
@@ -53,7 +54,15 @@ def test_scan_equals_brute_force(spark):
     got = {r["doc_id"]: [(s["start"], s["kind"], s["end"]) for s in r["secrets"]] for r in secrets.scan(df).collect()}
     for i, text in rows:
         assert got[i] == brute(text), (i, text)
-    assert {k for spans in got.values() for _, k, _ in spans} == {0, 1, 2, 3, 4}
+    assert {k for spans in got.values() for _, k, _ in spans} == {0, 1, 2, 3, 4, 5}
+
+
+def test_allowed_words_hide_no_neighbour(spark):
+    """A random value glued to a word of the allow-list is found; tokens of one letter case are, too."""
+    value = "q7Xz9LmP2vRt5KwB8nYc"
+    rows = [(0, f"example_key={value}"), (1, "MZXW6YTBOI5HS3DPNRQW4Y3F"), (2, "k3j9x0q8v7z2m5n1b4c6w"), (3, "example" * 4 + "1A"), (4, "internationalization2020 of things")]
+    got = {r["doc_id"]: r["w"] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", secrets.written(F.col("secrets")).alias("w")).collect()}
+    assert "b64entropy" in got[0] and "b36entropy" in got[1] and "b36entropy" in got[2] and not got[3] and not got[4]
 
 
 def test_redact_and_odd_tables(spark):
