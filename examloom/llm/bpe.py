@@ -359,7 +359,12 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", out_col
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """``encode`` and ``decode`` in one pass: both columns, the text decoded from the ids alone."""
+    """``encode`` and ``decode`` in one pass: both columns, the text decoded from the ids alone.
+
+    A null or empty text has no ids and decodes to an empty text; repeated rows
+    are treated each, long texts whole; an empty table stays empty. Columns of
+    the two names are replaced, others pass through whatever their names.
+    """
     kept = df.drop(*[c for c in (ids_col, out_col) if c != text_col])
     schema = T.StructType([*kept.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False), T.StructField(out_col, T.StringType(), False)])
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,10 +42,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Bytes that one Arrow batch between Spark and Python holds while a table is cut off: very long texts come in smaller batches.
+BATCH_BYTES = 4 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_LIMIT, None)
+    spark.conf.set(_LIMIT, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_LIMIT)
+        else:
+            spark.conf.set(_LIMIT, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder, so lost executors don't undo it."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with _small_batches(df.sparkSession):
+        return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Like ``cut``, but as compressed Parquet: for tables with texts or many rows, which a checkpoint would keep at their full size."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    with _small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

@@ -197,7 +197,9 @@ def scan(df: DataFrame, text_col: str = "text", out_col: str = "licenses", templ
 
     Matches of one template do not overlap; those of different templates may.
     A null or empty text has none, long texts are scanned whole, repeated rows
-    each; an existing ``out_col`` is replaced, other columns pass through.
+    each; an empty table stays empty; an existing ``out_col`` is replaced, other
+    columns pass through. Only licenses with a template are found: MIT and ISC by
+    their full texts, others by the usual notice, file header or SPDX line.
     """
     templates = dict(templates)
 

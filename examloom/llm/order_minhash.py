@@ -160,7 +160,7 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     The next text is that of the next id, ascending, nulls first; of equal ids
     the lesser text comes first; after the last comes the first, so a single
     row follows itself. Ids are whole numbers. An empty table gives an empty
-    result. Texts are dealt out once: into ranges of ids, at most
+    result. All columns but these two are dropped, whatever their names. Texts are dealt out once: into ranges of ids, at most
     ``MAX_BUCKETS``, each with a copy of the first row of the range after it.
     """
     docs = df.select(common.col(id_col).cast("long").alias("id"), F.coalesce(common.col(text_col), F.lit("")).alias("text"))

@@ -379,6 +379,44 @@ def _met(similarity: float):
     return run
 
 
+#: Counts of a text's shingles by the upper bits of their hashes, one for about four shingles; none if a count exceeds a byte.
+SKETCH = T.StructType([T.StructField("node", T.LongType()), T.StructField("size", T.LongType()), T.StructField("sketch", T.BinaryType())])
+LEAST_BITS = 6
+
+
+def _sketch(s: np.ndarray) -> bytes:
+    bits = max(LEAST_BITS, len(s).bit_length() - 2)
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return b"" if counts.max() > 255 else counts.astype(np.uint8).tobytes()
+
+
+def most_shared(x: bytes, y: bytes, least: int) -> int:
+    """Shingles that two texts share, at most, by their sketches; ``least``, the size of the smaller text, where one has none."""
+    if not x or not y:
+        return least
+    a, b = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (x, y))
+    m = min(len(a), len(b))
+    return int(np.minimum(a.reshape(m, -1).sum(1), b.reshape(m, -1).sum(1)).sum())
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())], names=SKETCH.names)
+
+
+def _possible(similarity: float):
+    """A function for mapInArrow over (a, b, size and sketch of a, size and sketch of b): the pairs whose sketches allow the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, x, m, y = (batch.column(i).to_pylist() for i in range(2, 6))
+            near = [most_shared(x[i], y[i], min(n[i], m[i])) >= least_shared(similarity, n[i] + m[i]) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(near, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+
+    return run
+
+
 def _verified(similarity: float):
     """A function for mapInArrow over (a, b, text of a, text of b): the pairs whose sets of shingles are similar."""
 
@@ -401,6 +439,36 @@ def _verified(similarity: float):
     return run
 
 
+def _plausible(similarity: float):
+    """Members of one block of a long list, or of two, that their sketches allow a link to a member of another component."""
+
+    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        first, second = int(key[1]), int(key[2])
+        block, size = frame["block"].to_numpy(), frame["size"].to_numpy()
+        _, group = np.unique(frame["root"].to_numpy(), return_inverse=True)
+        sketches = [np.frombuffer(x, np.uint8) for x in frame["sketch"]]
+        width = np.fromiter(map(len, sketches), np.int64, len(sketches))
+        near = width == 0  # without a sketch a text is always taken further
+        for w in np.unique(width[width > 0]).tolist():
+            wide = np.flatnonzero(width >= w)
+            coarse = np.stack([sketches[i].reshape(w, -1).sum(1, dtype=np.int32) for i in wide.tolist()])
+            for k in np.flatnonzero(width[wide] == w).tolist():
+                i = int(wide[k])
+                others = {first, second} - {block[i]} or {block[i]}
+                fits = (group[wide] != group[i]) & np.isin(block[wide], list(others)) & (np.minimum(size[wide], size[i]) >= least_shared(similarity, size[wide] + size[i]))
+                at = np.flatnonzero(fits)
+                if len(at):
+                    shared = np.minimum(coarse[at], coarse[k]).sum(1)
+                    at = at[shared >= least_shared(similarity, size[wide[at]] + size[i])]
+                    near[wide[at]] = True
+                    near[i] |= len(at) > 0
+        if (width == 0).any():
+            near[:] = True
+        return pd.DataFrame({"shingle": frame["shingle"].to_numpy()[near], "node": frame["node"].to_numpy()[near]})
+
+    return run
+
+
 def _links_of_list_blocks(similarity: float):
     """Links within one block of a long list or between two, enough of them to keep together what is linked, with the links already known."""
 
@@ -435,46 +503,72 @@ def similar_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     """(a, b): links of texts whose sets of shingles have this Jaccard similarity, enough of them to keep every component together.
 
     ``texts`` has node (long, the same for equal texts) and text. Every
-    link is verified on the shingles. Pairs of short lists are all compared. In a
+    link is verified on the shingles, after a bound from sketches that no similar pair falls below. Pairs of short lists are all compared. In a
     long list all members are compared with one first; if that leaves more than
-    one component, every two members of different ones are compared, in blocks.
+    one component, every two members of different ones are compared in blocks,
+    by their sketches and, where these leave it open, by their shingles.
+    Repeated rows count once; null texts count as one without words; an empty
+    table gives no links; other columns are not looked at.
     """
     index = texts.mapInArrow(_of_texts(_prefixes(*_order(texts), similarity), INDEX), "shingle long, node long, place long")
-    met = common.cut(index.repartition("shingle").sortWithinPartitions("shingle", "node").mapInArrow(_met(similarity), MET))
+    met = common.written(index.repartition("shingle").sortWithinPartitions("shingle", "node").mapInArrow(_met(similarity), MET))
     pairs = common.cut(met.where(F.col("a").isNotNull()).select("a", "b").distinct())
     long = met.where(F.col("shingle").isNotNull()).select(*INDEX)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node")).distinct()
-    some = common.cut(texts.groupBy("node").agg(F.first("text").alias("text")).join(wanted, "node", "left_semi"))
-    left, right = (some.select(F.col("node").alias(n), F.col("text").alias(f"of_{n}")) for n in "ab")
-    found = common.cut(pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(_verified(similarity), "a long, b long"))
+    some = common.written(texts.groupBy("node").agg(F.first("text").alias("text")).join(wanted, "node", "left_semi"))
+    # Texts move only where sketches, which are a small part of them, leave it open whether a pair is similar.
+    sketches = common.written(some.select("node", "text").mapInArrow(_sketches, SKETCH))
+    left, right = (sketches.select(F.col("node").alias(n), F.col("size").alias(f"size_{n}"), F.col("sketch").alias(f"sketch_{n}")) for n in "ab")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "sketch_a", "size_b", "sketch_b")
+    possible = common.cut(both.mapInArrow(_possible(similarity), "a long, b long"))
+    few = common.written(some.join(possible.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"))
+    left, right = (few.select(F.col("node").alias(n), F.col("text").alias(f"of_{n}")) for n in "ab")
+    found = common.cut(possible.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(_verified(similarity), "a long, b long"))
     if long.isEmpty():
         return found
-    roots = graph.components(found)
-    members = common.cut(long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    apart = members.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum(F.shiftright("place", 32).cast("double")).alias("n")).where(F.col("x") != F.col("y"))
-    apart = apart.select("shingle", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    dealt = members.join(apart, "shingle").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "shingle", "node", "root", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
-    )
-    more = dealt.join(some, "node").groupBy("shingle", "first", "second").applyInPandas(_links_of_list_blocks(similarity), "a long, b long")
+    members = common.cut(long.join(graph.components(found), "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"), F.shiftright("place", 32).alias("size")))
+    dealt = _dealt(members, F.count("*") / BLOCK).join(sketches.select("node", "sketch"), "node")
+    open_ = common.written(dealt.groupBy("shingle", "first", "second").applyInPandas(_plausible(similarity), "shingle long, node long").distinct())
+    dealt = _dealt(members.join(open_, ["shingle", "node"], "left_semi"), F.sum("size") / BLOCK_SHINGLES)
+    few = common.written(some.join(open_.select("node").distinct(), "node", "left_semi"))
+    more = dealt.join(few, "node").groupBy("shingle", "first", "second").applyInPandas(_links_of_list_blocks(similarity), "a long, b long")
     return found.unionByName(common.cut(more))
 
 
+def _dealt(members: DataFrame, blocks: Column) -> DataFrame:
+    """Members of lists that have several components, once for every pair of blocks that theirs is in."""
+    apart = members.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.ceil(blocks).cast("int").alias("blocks")).where(F.col("x") != F.col("y"))
+    dealt = members.join(apart.select("shingle", "blocks"), "shingle").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "shingle", "node", "root", "size", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
+    )
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``df`` with one row of every group of near-duplicates, that of the least id; of rows with that id any one, all columns from it.
+    """``df`` with one row of every group of near-duplicates: that of the least id, and of texts with that id the one of the least hash; all columns from it.
 
     Rows are grouped if their texts are equal, or if their texts' shingles of
     five words are similar. Texts without words are equal to each other. Rows
-    with a null id stay.
+    with a null id stay, whatever their text. Of repeated rows (id and text)
+    one stays, any of them if other columns differ; different texts of one id
+    are judged each. An empty table gives an empty result; columns of any
+    names pass through.
     """
-    group = common.fresh(df, "__group")
+    node_col = common.fresh(df, "__node")
     text = F.coalesce(common.col(text_col), F.lit(""))
-    docs = df.select(common.col(id_col).alias("id"), F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(text)).otherwise(F.lit(0)).alias("node"), text.alias("text"))
-    docs = docs.where(F.col("id").isNotNull())
+    node = F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(text)).otherwise(F.lit(0))
+    docs = df.where(common.col(id_col).isNotNull()).select(common.col(id_col).alias("id"), node.alias("node"), text.alias("text"))
     roots = graph.components(similar_links(docs.where(F.col("node") != 0).select("node", "text"), similarity))
-    ids = docs.groupBy("node").agg(F.min("id").alias("least"))
-    members = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = members.groupBy("root").agg(F.min("least").alias(group)).select(group).distinct()
-    rows = df.where(common.col(id_col).isNotNull()).join(kept, common.col(id_col) == F.col(group), "left_semi").dropDuplicates([id_col])
-    return rows.unionByName(df.where(common.col(id_col).isNull()))
+    rows = common.written(docs.groupBy("id", "node").count())
+    nodes = rows.groupBy("node").agg(F.min("id").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = nodes.groupBy("root").agg(F.min(F.struct(F.col("least").alias("id"), "node")).alias("first"))
+    first = nodes.select("node", "root").join(first, "root").select("node", F.col("first.id").alias("first_id"), F.col("first.node").alias("first_node"))
+    # What goes is a small part of all rows, so its ids move and not the texts that stay.
+    gone = rows.join(first, "node").where((F.col("id") != F.col("first_id")) | (F.col("node") != F.col("first_node"))).select("id", "node")
+    repeated = rows.where(F.col("count") > 1).select("id", "node")
+    here = lambda frame, other: frame.join(other, (common.col(id_col) == other["id"]) & (F.col(node_col) == other["node"]), "left_anti")
+    kept = here(df.withColumn(node_col, node), common.written(gone))
+    if not repeated.isEmpty():
+        again = (common.col(id_col) == repeated["id"]) & (F.col(node_col) == repeated["node"])
+        kept = here(kept, repeated).unionByName(kept.join(repeated, again, "left_semi").dropDuplicates([id_col, node_col]))
+    return kept.drop(node_col)

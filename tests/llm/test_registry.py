@@ -1,6 +1,7 @@
 """The registered corpus queries on the smallest tables: declared columns, and brute force or libraries for every row."""
 
 import hashlib
+import heapq
 import math
 import os
 import re
@@ -12,7 +13,7 @@ import pytest
 import sentencepiece
 import tiktoken
 import xxhash
-from examloom.llm import bpe, decontaminate, licenses, registry, secrets
+from examloom.llm import bpe, decontaminate, licenses, order_minhash, registry, secrets
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables")
@@ -153,13 +154,54 @@ def test_urls_equal_sql(spark):
     assert sorted(con.fetchall(), key=str) == sorted((tuple(r[n] for n in names) for r in rows(spark, "op9_url_filter")), key=str)
 
 
+MASK = (1 << 64) - 1
+
+
+def plain_mix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
+def plain_sketches(text, places):
+    """Some sketches of a text with whole numbers and sorting only: number the k-mers, take the two least of an order, hash them in text order."""
+    if not text:
+        return ["0000"] * len(places)
+    k, base = min(8, len(text)), 0x9E3779B97F4A7C15
+    kmers, seen, small = [], Counter(), []
+    for i in range(len(text) - k + 1):
+        h = k
+        for c in text[i : i + k]:
+            h = (h * base + ord(c)) & MASK
+        kmers.append(plain_mix(h))
+        n = seen[text[i : i + k]]
+        seen[text[i : i + k]] += 1
+        small.append((plain_mix((kmers[-1] + n * base) & MASK) if n else kmers[-1]) >> 32)
+    out = []
+    for p in places:
+        odd = int(order_minhash._ODD[p])
+        chosen = sorted(heapq.nsmallest(2, range(len(small)), key=lambda i: (small[i] * odd % (1 << 32), i)))
+        h = len(chosen)
+        for i in chosen:
+            h = plain_mix((h * base + kmers[i]) & MASK)
+        out.append(f"{h >> 48:04x}")
+    return out
+
+
 def test_next_documents(spark, texts):
     ids = sorted(texts)
+    places = range(5, 128, 31)
+    equal = lambda x, y: sum(x[4 * j : 4 * j + 4] == y[4 * j : 4 * j + 4] for j in range(128)) / 128
     got = {r["doc_id"]: r for r in rows(spark, "op10_order_minhash")}
     for k, i in enumerate(ids):
         t, following = texts[i], texts[ids[(k + 1) % len(ids)]]
         half = math.floor(len(t) / 2)
         assert (got[i]["n_chars"], got[i]["edited_sha256"]) == (len(t), sha(t[: len(t) - half] + following[:half]))
         same = t == following
+        edited = t[: len(t) - half] + following[:half]
+        for text, written in ((t, got[i]["fingerprint"]), (edited, got[i]["edited_fingerprint"])):
+            assert len(written) == 512 and [written[4 * j : 4 * j + 4] for j in places] == plain_sketches(text, places)
+        assert got[i]["near_edited"] == equal(got[i]["fingerprint"], got[i]["edited_fingerprint"])
+        assert got[i]["near_next"] == equal(got[i]["fingerprint"], got[ids[(k + 1) % len(ids)]]["fingerprint"])
         assert (got[i]["near_next"] == 1.0) >= same and 0 <= got[i]["near_edited"] <= 1
     assert sum(r["near_edited"] > r["near_next"] for r in got.values()) > 0.9 * len(got)

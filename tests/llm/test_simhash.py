@@ -199,3 +199,23 @@ def test_different_letters_stay(spark):
     x, y = shingles(rows[0][1]), shingles(rows[1][1])
     assert 0.7 < len(x & y) / len(x | y) < 0.8
     assert kept_ids(spark, rows) == set(range(400))
+
+
+def test_rows_of_one_id_and_rows_without_one(spark):
+    """Different texts of one id are judged each; repeated rows leave one, rows without an id stay."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "x"), (1, b, "x"), (2, b, "x"), (2, a + " end", "x"), (3, c, "x"), (3, c, "y"), (None, c, "x"), (None, None, "x"), (4, None, "x"), (5, " ", "x")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, node string")).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(1, a), (1, b), (3, c), (None, c), (None, None), (4, None)], key=str)
+    assert got[0].asDict().keys() == {"doc_id", "text", "node"}
+
+
+def test_sketches_never_fall_below_what_two_texts_share():
+    rng = random.Random(17)
+    for n in (1, 3, 40, 300, 3000):
+        pool = [rng.getrandbits(64) for _ in range(2 * n)]
+        x, y = (simhash.np.array(sorted(rng.sample(pool, k)), "uint64") for k in (n, rng.randint(n, 2 * n)))
+        shared = len(set(x.tolist()) & set(y.tolist()))
+        assert shared <= simhash.most_shared(simhash._sketch(x), simhash._sketch(y), len(x)) <= len(y)
+    many = simhash.np.arange(300, dtype="uint64")
+    assert simhash._sketch(many) == b"" and simhash.most_shared(b"", simhash._sketch(x), 7) == 7

@@ -1,6 +1,7 @@
 """Licenses, decontamination, quality, URL filters and order MinHash on small tables."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -56,6 +57,40 @@ def test_close_copies_of_a_license_are_all_found():
         assert all(x[4] <= y[3] for x, y in zip(found, found[1:]))
 
 
+def brute_scan(ws, template, threshold):
+    """Every start, in the scanner's order, aligned against the stretch up to the window's end or the next taken word: spans of one template."""
+    t = licenses.words(template)
+    window, need = max(len(t) + 1, math.ceil(licenses.SLACK * len(t))), math.ceil(threshold * len(t) - 1e-9)
+    held = {a: sum(w in t for w in ws[a : a + window]) for a in range(len(ws)) if ws[a] in t}
+    used, out = [False] * len(ws), []
+    for a in sorted(held, key=lambda a: (-held[a], a)):
+        if used[a]:
+            continue
+        b = next((i for i in range(a, min(a + window, len(ws))) if used[i]), min(a + window, len(ws)))
+        pairs = licenses.align(ws[a:b], t)
+        if len(pairs) >= need:
+            first, last = a + pairs[0][0], a + pairs[-1][0] + 1
+            used[first:last] = [True] * (last - first)
+            out.append((first, last))
+    return sorted(out)
+
+
+def test_licenses_against_all_windows():
+    """No window is passed over: notices cut, glued and mixed at random give what aligning every window gives."""
+    rng = random.Random(23)
+    names = [n for n, t in licenses.TEMPLATES.items() if len(licenses.words(t)) < 40]
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.THRESHOLD)
+    for _ in range(150):
+        ws = []
+        for _ in range(rng.randint(1, 6)):
+            part = licenses.words(licenses.TEMPLATES[rng.choice(names)])
+            part = [w for w in part if rng.random() > rng.choice([0, 0.1, 0.25])]
+            ws += part + [rng.choice(["foo", "the", "mit", "under", "license"]) for _ in range(rng.randint(0, 3))]
+        found = scanner.scan(" ".join(ws))
+        for name in names:
+            assert sorted((m[3], m[4]) for m in found if m[0] == name) == brute_scan(ws, licenses.TEMPLATES[name], licenses.THRESHOLD), (name, " ".join(ws))
+
+
 def brute_cover(a, b, least):
     taken_a, taken_b, cover = [v < 0 for v in a], [False] * len(b), 0
     while True:
@@ -94,8 +129,9 @@ def test_decontamination(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)] + [(3, texts[3], "h")], "doc_id long, text string, hits string")
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     want = {i: [] for i in range(len(texts))} | {3: [0], 4: [0], 6: [0], 8: [0, 1], 9: [2]}
-    for block in (decontaminate.BLOCK_CHARS, 10):
+    for block, at_once in ((decontaminate.BLOCK_CHARS, 4), (10, 4), (10, 2)):
         monkeypatch.setattr(decontaminate, "BLOCK_CHARS", block)
+        monkeypatch.setattr(decontaminate, "BLOCKS_AT_ONCE", at_once)
         got = {r["doc_id"]: sorted(h["item_id"] for h in r["hits"]) for r in decontaminate.with_hits(docs, bench).collect()}
         assert got == want
     assert sorted(r["doc_id"] for r in decontaminate.clean(docs, bench).collect()) == [i for i in want if not want[i]]
@@ -144,7 +180,9 @@ def test_urls(spark):
         rule = brute_rule(host, path)
         verdict = rule.verdict if rule else "block" if model.total(host, path) > 0 else "allow"
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, rule and rule.text, verdict), r["url"]
-    assert all((model.total(*urls.split_url(u)) > 0) == bool(y) for u, y in urls.LABELLED)
+    assert sum((model.total(*urls.split_url(u)) > 0) == bool(y) for u, y in urls.LABELLED) >= 0.97 * len(urls.LABELLED)
+    precision, recall, accuracy = urls.measured()  # on rows that the model has not seen
+    assert precision >= 0.95 and recall >= 0.8 and accuracy >= 0.88
     assert urls.judge(df.limit(0), model).count() == 0
     assert urls.fit_table(spark.createDataFrame([*urls.LABELLED, ("x", None)], "url string, label int")).bias == urls.fit(sorted(urls.LABELLED)).bias
 
