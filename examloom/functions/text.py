@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,10 +58,44 @@ def shortened(c: Column, limit: int) -> Column:
     return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit - 3), F.lit("..."))).otherwise(c)
 
 
-def preview(c: Column, limit: int = PREVIEW_CHARS) -> Column:
-    return shortened(collapse(c), limit)
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs there."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
+def rewritten(c: Column, pattern: str, form: Callable[[Column], Column]) -> Column:
+    """A text with every match of a pattern replaced by an expression of the match."""
+
+    def of(text: Column) -> Column:
+        matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+        pieces = F.zip_with(gaps, F.transform(matches, form), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
+        return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
+
+    return let(c, of)
+
 
+def located(c: Column, pattern: str) -> Column:
+    """Matches of a pattern with their places: array of (raw, start, end), in code points, ends exclusive."""
+    kind = "array<struct<raw:string,start:int,end:int>>"
 
+    def of(text: Column) -> Column:
+        matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+
+        def add(at: Column, pair: Column) -> Column:
+            start = at["at"] + F.length(pair["gap"])
+            end = start + F.length(pair["raw"])
+            place = F.struct(pair["raw"].alias("raw"), start.cast("int").alias("start"), end.cast("int").alias("end"))
+            return F.struct(end.cast("int").alias("at"), F.array_append(at["found"], place).alias("found"))
+
+        pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda gap, raw: F.struct(gap.alias("gap"), raw.alias("raw")))
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
+        return F.when(text.rlike(pattern), F.aggregate(pairs, begin, add, lambda at: at["found"])).otherwise(F.array().cast(kind))
+
+    return let(c, of)
+
+
+def preview(c: Column, limit: int = PREVIEW_CHARS) -> Column:
+    return shortened(collapse(c), limit)
 
 
 def norm_ref(c: Column) -> Column:

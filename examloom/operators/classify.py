@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TITLE_WEIGHT, LOW_CONFIDENCE, MOST_CONFIDENCE, LEAST_DENOMINATOR, GROWTH = 1.4, 0.12, 0.99, 8.0, 3.0
-#: A taxonomy of at most so many words is sent to all executors; a larger one is joined by shuffle.
+#: A taxonomy of at most so many rows of leaf and word is sent to all executors; a larger one is joined by shuffle.
 BROADCAST_WORDS = 200_000
 
 #: Words that say nothing about a topic.
@@ -58,23 +58,25 @@ def classify(questions: DataFrame, leaves: DataFrame, id_col: str, text_col: str
     """Per question the best leaf, its score, confidence and status (ok or needs_review).
 
     A shared token adds sqrt(occurrences) * weight in the leaf * boost. The
-    first leaf in the taxonomy wins ties. Words are counted inside a question
-    before anything is joined, and only words of the taxonomy are.
-    Questions without tokens or hits have no leaf, confidence 0 and need review.
+    first leaf in the taxonomy wins ties. A question's tokens are made once and
+    go one way: those that the taxonomy lacks are folded into one count before
+    the first shuffle, which leaves a row for each question and known token.
+    Questions without tokens or hits have no leaf, confidence 0 and need
+    review. Ids are unique.
     """
     words = leaf_words(leaves)
-    vocabulary = words.select("token").distinct()
-    small = vocabulary.count() <= BROADCAST_WORDS
-    ids = questions.select(id_col, tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("__tokens"))
-    counted = ids.select(id_col, F.explode("__tokens").alias("token"))
-    known = counted.join(F.broadcast(vocabulary) if small else vocabulary, "token", "left_semi").groupBy(id_col, "token").agg(F.count("*").alias("n"))
-    hits = known.join(F.broadcast(words) if small else words, "token")
-    scores = hits.groupBy(id_col, "leaf").agg(F.sum(F.sqrt("n") * F.col("weight") * boost(F.col("token"))).alias("score"))
-    best = scores.groupBy(id_col).agg(F.max_by(F.struct("leaf", "score"), F.struct("score", (-F.col("leaf")).alias("first"))).alias("best"))
-    joined = ids.select(id_col, F.size("__tokens").alias("__n")).join(best, id_col, "left")
+    sent = F.broadcast if words.count() <= BROADCAST_WORDS else (lambda frame: frame)
+    vocabulary = words.select("token", F.col("token").alias("known")).distinct()
+    found = tokens(F.coalesce(F.col(text_col), F.lit("")))
+    each = questions.select(id_col, found.alias("__tokens")).select(id_col, F.size("__tokens").alias("__n"), F.explode_outer("__tokens").alias("token"))
+    counted = each.join(sent(vocabulary), "token", "left").groupBy(id_col, "__n", F.col("known").alias("token")).agg(F.count("*").alias("n"))
+    hits = counted.join(sent(words), "token", "left")
+    scores = hits.groupBy(id_col, "__n", "leaf").agg(F.sum(F.sqrt("n") * F.col("weight") * boost(F.col("token"))).alias("score"))
+    place = F.when(F.col("leaf").isNotNull(), F.struct("score", (-F.col("leaf")).alias("first")))
+    best = scores.groupBy(id_col, "__n").agg(F.max_by(F.struct("leaf", "score"), place).alias("best"))
     score = F.coalesce("best.score", F.lit(0.0))
     confidence = F.least(F.lit(MOST_CONFIDENCE), score / (score + F.greatest(F.lit(LEAST_DENOMINATOR), F.sqrt("__n") * GROWTH)))
-    rows = joined.select(id_col, F.col("best.leaf").alias("leaf"), score.alias("score"), confidence.alias("confidence"))
+    rows = best.select(id_col, F.col("best.leaf").alias("leaf"), score.alias("score"), confidence.alias("confidence"))
     return rows.withColumn("status", F.when(F.col("leaf").isNotNull() & (F.col("confidence") >= LOW_CONFIDENCE), "ok").otherwise("needs_review"))
 
 

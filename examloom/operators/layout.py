@@ -33,9 +33,19 @@ def reading_order(lines: DataFrame, paper: str = "paper_id") -> DataFrame:
     return lines.withColumn("__ordered", ordered).withColumn("line_index", F.row_number().over(by) - 1).drop("__ordered")
 
 
+def text_lines(text: Column) -> Column:
+    """The lines of a text that aren't blank, stripped."""
+    return F.filter(F.transform(F.split(text, LINE_BREAKS), tx.strip), lambda line: line != "")
+
+
+def text_context(text: Column, limit: int = tx.CONTEXT_CHARS) -> Column:
+    """``page_context`` of a page whose text is one value: nothing leaves its row."""
+    return tx.let(F.array_join(text_lines(text), "\n"), lambda joined: tx.shortened(joined, limit))
+
+
 def plain_text_lines(docs: DataFrame, id_col: str, text_col: str, width: float = A4_WIDTH, height: float = A4_HEIGHT) -> DataFrame:
     """Lines of a text that aren't blank, spread evenly over a page: text, block_index and box. A text without any gives no row."""
-    lines = F.filter(F.transform(F.split(F.col(text_col), LINE_BREAKS), tx.strip), lambda line: line != "")
+    lines = text_lines(F.col(text_col))
     row = F.lit(float(height)) / (F.size("__lines") + 2)
     exploded = docs.select(id_col, lines.alias("__lines")).where(F.size("__lines") > 0).select(id_col, row.alias("__row"), F.posexplode("__lines").alias("block_index", "text"))
     y0 = F.lit(40.0) + F.col("block_index") * F.col("__row")

@@ -276,3 +276,12 @@ def key_entries(pages: DataFrame, expected: int, paper: str = "paper_id") -> Dat
     rows = found.withColumn("__ended", ended).where(F.col("__ended") == 0).select(paper, "page", F.explode("__pairs").alias("p"))
     first = rows.groupBy(paper, F.col("p.number").alias("number")).agg(F.min_by(F.struct("p.answer", "page"), F.struct("page", "p.i")).alias("one"))
     return first.select(paper, "number", "one.answer", "one.page")
+
+
+def number_boxes(entries: DataFrame, words: DataFrame) -> DataFrame:
+    """``entries`` (paper_id, number, page) with the box of the first word of their page that is the number, a dot or bracket behind it or not; null if none is."""
+    printed = F.regexp_replace(F.trim("text"), r"[.)]+$", "")
+    at = words.select("paper_id", "page", F.when(printed.rlike("^[0-9]{1,9}$"), printed.cast("int")).alias("number"), F.struct("pos", "x0", "y0", "x1", "y1").alias("word"))
+    first = at.where(F.col("number").isNotNull()).groupBy("paper_id", "page", "number").agg(F.min_by("word", "word.pos").alias("word"))
+    joined = entries.join(first, ["paper_id", "page", "number"], "left")
+    return joined.withColumn("box", F.when(F.col("word").isNotNull(), F.struct("word.x0", "word.y0", "word.x1", "word.y1"))).drop("word")

@@ -9,6 +9,8 @@ from examloom.functions import text as tx
 
 MARGIN, STRUCTURED_MARGIN = 90.0, 120.0
 GAP, LONG_STEM = 2, 60
+TITLE_LINES, TITLE_PIECES = 12, 3
+MOST_CANDIDATES = 1_000_000
 
 #: What may and may not follow a question number.
 NUMBER_THEN_STEM = r"(?i)^(?:Q\s*)?(\d{1,2})(?:[.)]\s*|\s+)(\S.*)$"
@@ -82,9 +84,22 @@ def accepted(numbers: Column, expected: int) -> Column:
 
 
 def greedy_starts(found: DataFrame, paper: str, order: list[str], expected: int, number: str = "number") -> DataFrame:
-    """The candidates of each paper that the scan accepts. A paper's candidates are gathered: a scan has no parallel form, and a paper is a document."""
+    """The candidates of each paper that the scan accepts.
+
+    A paper's candidates are gathered: a scan has no parallel form, and a paper
+    is a document. Only numbers that the scan can accept are, and of a run of
+    one number only the first: after it the scan waits for a greater one. What
+    is gathered is thus no longer than the paper is, and a paper of more than
+    ``MOST_CANDIDATES`` is an error rather than an endless fold.
+    """
+    by = Window.partitionBy(paper).orderBy(*order)
+    found = found.where(F.col(number).between(1, expected)).withColumn("__before", F.lag(number).over(by))
+    found = found.where(~F.col("__before").eqNullSafe(F.col(number))).drop("__before")
     rows = F.array_sort(F.collect_list(F.struct(*order, F.col(number).alias("__number"), *[c for c in found.columns if c not in (paper, *order)])))
-    taken = found.groupBy(paper).agg(rows.alias("__rows")).withColumn("__taken", accepted(F.transform("__rows", lambda r: r["__number"]), expected))
+    listed = found.groupBy(paper).agg(rows.alias("__rows"))
+    too_many = F.raise_error(F.lit(f"a paper has more than {MOST_CANDIDATES} candidates for question starts"))
+    listed = listed.withColumn("__rows", F.when(F.size("__rows") > MOST_CANDIDATES, too_many.cast(listed.schema["__rows"].dataType)).otherwise(F.col("__rows")))
+    taken = listed.withColumn("__taken", accepted(F.transform("__rows", lambda r: r["__number"]), expected))
     picked = taken.select(paper, F.explode(F.transform("__taken", lambda i: F.element_at("__rows", i + 1))).alias("__row"))
     return picked.select(paper, "__row.*").drop("__number").select(*found.columns)
 

@@ -39,9 +39,22 @@ def test_box_functions(spark):
     assert one(spark, a.overlaps(b)) and one(spark, a.shared_area(b)) == 0 and one(spark, a.near(b)) is False
 
 
-@pytest.mark.parametrize("raw,want", [*chemistry.EXAMPLES, ("VO_2^{{+}}", "VO₂⁺"), ("", ""), (None, None), ("Fe(III) and CuSO4.5H2O", "Fe(III) and CuSO₄.5H₂O"), ("NaCl( AQ ) -> Na+", "NaCl(aq) → Na⁺")])
-def test_notation(raw, want):
-    assert chemistry.normalize(raw) == want
+NOTATION = [
+    ("H 2 O and C 3 H 8", "H₂O and C₃H₈"), ("A 15 cm3", "A 15 cm³"), ("CuSO4", "CuSO₄"), ("V3+", "V³⁺"), ("VO2+", "VO₂⁺"), ("Fe2+", "Fe²⁺"), ("NH4+", "NH₄⁺"), ("B V₃+", "B V³⁺"),
+    ("C VO₂+", "C VO₂⁺"), ("A NH4VO3", "A NH₄VO₃"), ("V^{3+}", "V³⁺"), ("VO_2^{+}", "VO₂⁺"), ("VO₂^{{+}}", "VO₂⁺"), ("VO_2^{{+}}", "VO₂⁺"), ("NH_4VO_3", "NH₄VO₃"), ("contains H_2O and V^{3+}", "contains H₂O and V³⁺"),
+    ("N2 + 3H22NH3", "N₂ + 3H₂ ⇌ 2NH₃"), ("n₂ + 3 H2 <=> 2 NH3", "N₂ + 3H₂ ⇌ 2NH₃"), ("H2 + Cl22HCl", "H₂ + Cl₂ ⇌ 2HCl"), ("Process. N2 + 3H22NH3 ∆ H = -92.4 kJ/mol", "Process. N₂ + 3H₂ ⇌ 2NH₃ ΔH = -92.4 kJ/mol"),
+    ("4 NH3 ( g ) + 5O2(g) 4NO(g)+6H2O(g)", "4NH₃(g) + 5O₂(g) → 4NO(g) + 6H₂O(g)"), ("∆ H = - 92.4 kJ / mol", "ΔH = -92.4 kJ/mol"), ("24 dm 3", "24 dm³"), ("1.00 mol dm-3", "1.00 mol dm⁻³"), ("5 g / mol at 2 atmospheres", "5 g/mol at 2 atm"),
+    ("plain  words", "plain words"), ("", ""), (None, None), ("Fe(III) and CuSO4.5H2O", "Fe(III) and CuSO₄.5H₂O"), ("NaCl( AQ ) -> Na+", "NaCl(aq) → Na⁺"), ("H<sub>2</sub>SO<SUB>4</SUB>", "H₂SO₄"),
+    (r"\(\mathrm{CO_2}\) gas $x$", "CO₂ gas x"), ("14 g of nitrogen, N2 in 24 dm 3 at 30°C", "14 g of nitrogen, N₂ in 24 dm³ at 30°C"), ("D 12 and B 3", "D 12 and B 3"), ("Total 7 of 9", "Total 7 of 9"),
+]
+
+
+def test_notation(spark):
+    rows = spark.createDataFrame([(i, raw) for i, (raw, _) in enumerate(NOTATION)], "i int, t string")
+    got = {r["i"]: r["n"] for r in chemistry.normalized(rows, "t", "n").collect()}
+    assert [(raw, got[i]) for i, (raw, _) in enumerate(NOTATION)] == NOTATION
+    spelt = spark.createDataFrame([("V^{3+}",), ("VO_2^{+}",), ("VO_2^{{+}}",), ("NH_4VO_3",), ("x",)], "t string").select(chemistry.from_latex(F.col("t")).alias("t"))
+    assert [r["t"] for r in spelt.collect()] == ["V³⁺", "VO₂⁺", "VO₂⁺", "NH₄VO₃", "x"]
 
 
 def test_notation_tokens(spark):
@@ -49,6 +62,7 @@ def test_notation_tokens(spark):
     row = chemistry.annotated(df).first()
     assert [(t["kind"], t["normalized"]) for t in row["tokens"]] == [("unit", "cm³"), ("state", "(aq)"), ("formula", "H₂SO₄"), ("formula", "NaCl")]
     assert row["stem_normalized"].startswith("Add 24 cm³ of H₂SO₄(aq)")
+    assert row["options_normalized"] == {"A": "NaCl", "B": "H₂SO₄"}
     token = row["tokens"][2]
     assert "Add 24 cm 3 of H2SO4(aq); A 15"[token["start"] : token["end"]] == "H2SO4"
 
