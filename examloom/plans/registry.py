@@ -7,24 +7,15 @@ numbers, a user's events are lines in order. Each docstring says which.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from examloom.functions import boxes
 from examloom.functions import text as tx
 from examloom.operators import chemistry, classify, layout, matching, options, segment, sinks, spatial, validation
+from examloom.plans.registration import ORACLE_SQL, QUERIES, query, table
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and texts of documents. A scan of fewer tasks than cores is dealt out first: its one file would keep one core busy."""
@@ -32,18 +23,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs if docs._jdf.queryExecution().toRdd().getNumPartitions() >= cores else docs.repartition(cores)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query under its function's name, with the DuckDB text that gives the same rows."""
-
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 # Validation and matching
 
 
@@ -180,8 +159,7 @@ def furniture_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, CASE WHEN length(t) > 3000 THEN substr(t, 1, 2997) || '...' ELSE t END AS context FROM j""")
 def page_text_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of a page as context for an extractor, cut to 3000 characters: documents as pages."""
-    lines = layout.plain_text_lines(documents(spark, sf_dir), "doc_id", "text")
-    return layout.page_context(lines, ["doc_id"], ["block_index"])
+    return documents(spark, sf_dir).where(layout.text_lines(F.col("text")) != F.array().cast("array<string>")).select("doc_id", layout.text_context(F.col("text")).alias("context"))
 
 
 @query(r"""
@@ -328,13 +306,6 @@ def norm_bbox_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", box.alias("b")).select("l_orderkey", "l_linenumber", "l_partkey", "b.*")
 
 
-@query()
-def near_dup_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Figures of a page without near repeats, first one kept: lines of an order as figures."""
-    b = _boxes(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "x0", "y0", "x1", "y1")
-    return spatial.distinct_boxes(b, ["l_orderkey"], ["l_linenumber", "l_partkey"])
-
-
 # Topics
 
 
@@ -390,18 +361,45 @@ def syllabus_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Notation and sinks
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in chemistry.EXAMPLES) + ") t(text, normalized)")
-def chem_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chemical notation normalized: inline examples, against their expected forms."""
-    rows = spark.createDataFrame([(a,) for a, _ in chemistry.EXAMPLES], "text string")
-    return chemistry.normalized(rows, "text", "normalized")
+NOTATION_SQL = """
+WITH n AS (SELECT p_partkey, p_size, CAST(p_partkey % 12 + 1 AS VARCHAR) AS a, CAST(p_partkey % 30 + 1 AS VARCHAR) AS b, CAST(p_partkey % 3 + 1 AS VARCHAR) AS c FROM part),
+s AS (SELECT *, translate(a, '0123456789', '₀₁₂₃₄₅₆₇₈₉') AS la, translate(b, '0123456789', '₀₁₂₃₄₅₆₇₈₉') AS lb, translate(c, '0123456789', '⁰¹²³⁴⁵⁶⁷⁸⁹') AS hc FROM n)"""
 
 
-@query()
+def _notation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with notation in them, from the numbers of parts."""
+    part = table(spark, sf_dir, "part")
+    a, b, c = ((F.col("p_partkey") % n + 1).cast("string") for n in (12, 30, 3))
+    size = F.col("p_size").cast("string")
+    plain = F.concat(F.lit("Take "), size, F.lit(" cm 3 of C"), a, F.lit("H"), b, F.lit(" ( G ) with Fe"), c, F.lit("+ at "), size, F.lit(" atmospheres"))
+    spaced = F.concat(F.lit("B "), size, F.lit(" of  N "), a, F.lit(" H "), b, F.lit(" -> V_"), c, F.lit("O^{"), c, F.lit("+}; ∆ H = - "), size, F.lit(" kJ / mol"))
+    return part.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, plain).otherwise(spaced).alias("text"))
+
+
+@query(
+    NOTATION_SQL
+    + """ SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'Take ' || p_size || ' cm³ of C' || la || 'H' || lb || ' (g) with Fe' || hc || '⁺ at ' || p_size || ' atm'
+  ELSE 'B ' || p_size || ' of N' || la || 'H' || lb || ' → V' || translate(c, '0123456789', '₀₁₂₃₄₅₆₇₈₉') || 'O' || translate(c, '0123456789', '₀₁₂₃₄₅₆₇₈₉') || '⁺; ΔH = -' || p_size || ' kJ/mol' END AS normalized FROM s"""
+)
+def chem_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chemical notation normalized: formulae, ions, units, states, arrows and enthalpies of changing numbers, one text for every part."""
+    return chemistry.normalized(_notation(spark, sf_dir), "text", "normalized").drop("text")
+
+
+@query(
+    NOTATION_SQL
+    + """, e AS (SELECT *, length('Take ' || p_size || ' ') AS u, length('Take ' || p_size || ' cm 3 of ') AS f, length('Take ' || p_size || ' cm 3 of C' || a || 'H' || b || ' ') AS g FROM s WHERE p_partkey % 2 = 0),
+t AS (SELECT p_partkey, 'unit' AS kind, 'cm 3' AS raw, 'cm³' AS normalized, u AS "start" FROM e
+  UNION ALL SELECT p_partkey, 'unit', 'atmospheres', 'atm', g + length('( G ) with Fe' || c || '+ at ' || p_size || ' ') FROM e
+  UNION ALL SELECT p_partkey, 'state', '( G )', '(g)', g FROM e
+  UNION ALL SELECT p_partkey, 'formula', 'C' || a || 'H' || b, 'C' || la || 'H' || lb, f FROM e
+  UNION ALL SELECT p_partkey, 'formula', 'Fe' || c || '+', 'Fe' || hc || '⁺', g + length('( G ) with ') FROM e)
+SELECT p_partkey, kind, raw, normalized, CAST("start" AS INT) AS "start", CAST("start" + length(raw) AS INT) AS "end" FROM t"""
+)
 def chem_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formulae, units and states in every document, with their places."""
-    rows = chemistry.tokens(documents(spark, sf_dir), "text")
-    return rows.select("doc_id", F.explode("tokens").alias("token")).select("doc_id", "token.*")
+    """Formulae, units and states with their places: in the text of every other part."""
+    rows = chemistry.tokens(_notation(spark, sf_dir).where(F.col("p_partkey") % 2 == 0), "text")
+    return rows.select("p_partkey", F.explode("tokens").alias("token")).select("p_partkey", "token.*")
 
 
 @query("SELECT doc_id, sha256(text) AS sha256, strlen(text) AS n_bytes FROM documents")
@@ -429,3 +427,6 @@ def question_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     rows = part.select(F.col("p_partkey").cast("string").alias("ref"), F.col("p_name").alias("stem"), (F.col("p_size") % 7 == 0).alias("requires_review"), F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size")).alias("payload"))
     return sinks.question_rows(rows, F.lit("bank"))
+
+
+from examloom.plans import cases, shapes  # noqa: E402, F401  (they register further queries)
