@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
+from typing import Any
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examloom import schemas
 from examloom.functions import boxes
-from examloom.operators import blocks, classify, evaluation, figures, layout, matching, options, report, spatial, taxonomy, validation
+from examloom.operators import blocks, classify, crops, evaluation, figures, layout, matching, options, report, spatial, taxonomy, validation
 from examloom.plans import paper
 from examloom.plans.registration import expected, query
+from examloom.sources import extractors, png
 
 
 class Page:
@@ -408,3 +413,62 @@ def turned_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = boxes.norm_to_layout(F.array(*[F.lit(x) for x in (100, 200, 500, 800)]), F.lit(1000.0), F.lit(2000.0))
     b = boxes.from_bottom_left(*[F.lit(float(x)) for x in (10, 800, 100, 780)], F.lit(842.0))
     return spark.range(1).select(F.explode(F.array(a, b)).alias("b")).select("b.*")
+
+
+@query(
+    expected(
+        "name VARCHAR, width INT, height INT, failed BOOLEAN",
+        [("q01-stem-1.png", 54, 104, False), ("q07.png", 100, 168, False), ("q02-options.png", None, None, True), ("q03-options.png", None, None, True)],
+    )
+)
+def cut_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pictures cut out of page images: one region, the strips of a question over two pages, a page without an image and one with a broken one."""
+    image = png.write(np.full((200, 100, 3), 255, np.uint8))
+    images = spark.createDataFrame([("p", 1, image), ("p", 2, image), ("p", 3, b"broken")], "paper_id string, page int, image binary")
+    regions = [("q01-stem-1.png", 0, 1, [250.0, 250.0, 750.0, 750.0]), ("q02-options.png", 0, 4, [0.0, 0.0, 9.0, 9.0]), ("q03-options.png", 0, 3, [0.0, 0.0, 9.0, 9.0])]
+    wanted = spark.createDataFrame([("p", *r) for r in regions], "paper_id string, name string, strip int, page int, bbox array<double>")
+    strips = spark.createDataFrame([("p", 7, 1, 0.0, 50.0, 300.0, 200.0), ("p", 7, 2, 0.0, 0.0, 300.0, 50.0)], "paper_id string, question int, page int, x0 double, y0 double, x1 double, y1 double")
+    sizes = spark.createDataFrame([("p", 1, 300.0, 260.0), ("p", 2, 300.0, 260.0)], "paper_id string, page int, width double, height double")
+    found = crops.cut_out(wanted.unionByName(crops.question_strips(strips, sizes)), images)
+    return found.select("name", "width", "height", F.col("error").isNotNull().alias("failed"))
+
+
+SAID = {
+    1: [("Q01", ["a stem", None], "text", [[0.0, 0.0, 500.0, 500.0]], None), ("2", ["begins"], "composite_visual", [], [1.0, 2.0, 3.0, 4.0])],
+    2: [("q2", ["goes on"], "text", [], None), ("3", [], "composite_visual", [], None)],
+}
+
+
+def _model(page: dict[str, Any]) -> str:
+    """What a model might say of a page; of page 3 nothing."""
+    block = lambda t: {"type": "image"} if t is None else {"type": "text", "value": t}
+    return json.dumps({"questions": [{"question_ref": r, "content": [block(t) for t in content], "options": {"mode": mode, "labels": list("ABCD")}, "stem_visuals": [{"bbox": b} for b in boxes_], "options_bbox": box, "requires_review": False} for r, content, mode, boxes_, box in SAID[page["page"]]]})
+
+
+@query(
+    expected(
+        "question_ref VARCHAR, page INT, content VARCHAR, asset VARCHAR, pictures VARCHAR, requires_review BOOLEAN",
+        [
+            ("1", 1, "text:a stem,image:q01-stem-1.png", None, "q01-stem-1.png", False),
+            ("2", 1, "text:begins", "q02-options.png", "q02-options.png", False),
+            ("2", 2, "text:goes on", None, "", False),
+            ("3", 2, "", None, "", True),
+            ("page-3-failed", 3, "text:[parse failed on page 3: KeyError: 3]", "", "", True),
+        ],
+    )
+)
+def extracted_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions that a model reads from three pages, one of which fails: references, blocks, names of pictures, placeholders."""
+    pages = spark.createDataFrame([("p", n, f"page {n}", None) for n in (1, 2, 3)], "paper_id string, page int, context string, image binary")
+    found = extractors.materialized(extractors.questions(pages, _model))
+    shown = F.array_join(F.transform("content", lambda b: F.concat_ws(":", b["type"], F.coalesce(b["value"], b["asset"]))), ",")
+    return found.select("question_ref", "page", shown.alias("content"), F.col("options.asset").alias("asset"), F.array_join(F.transform("pictures", lambda p: p["name"]), ",").alias("pictures"), "requires_review")
+
+
+@query(expected("question_ref VARCHAR, content VARCHAR, n_regions INT, requires_review BOOLEAN", [("1", "a stem", 1, False), ("2", "begins goes on", 2, False), ("3", "", 1, True)]))
+def merged_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions that go on over two pages put together."""
+    pages = spark.createDataFrame([("p", n, "", None) for n in (1, 2)], "paper_id string, page int, context string, image binary")
+    merged = extractors.merged(extractors.materialized(extractors.questions(pages, _model)))
+    text = F.array_join(F.filter(F.transform("content", lambda b: b["value"]), lambda v: v.isNotNull()), " ")
+    return merged.select("question_ref", text.alias("content"), F.size("source_regions").alias("n_regions"), "requires_review")
