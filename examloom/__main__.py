@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from examloom.operators import options, report, sinks, validation
 from examloom.plans import paper, registry
-from examloom.sources import pages
+from examloom.sources import pages, pdf
 
-READERS = {"json": pages.json_reader, "text": pages.text_reader}
+READERS = {"json": pages.json_reader, "pdf": pdf.pdf_reader, "text": pages.text_reader}
 VERSIONS = {"examloom": "2", "schema": "canonical/v1"}
 DEFAULT_EXPECTED = 40
 
