@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 from . import common
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-#: A run of 20 or 24 characters is the first of its kind inside its maximal run, so the length may stand in the pattern; runs are
-#: only tried from their beginning.
+#: A run of 20 or 24 characters is the first of its kind inside its maximal run, so the length may stand in the pattern.
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
-HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
+HEX = r"[0-9a-f]{24,}+"
 ASSIGN_LEAST = 6
 
 WINDOW = 20
@@ -55,9 +54,9 @@ class CharClass:
 
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 CLASSES = (
-    CharClass("hexentropy", r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{20,}+", DIGITS + "abcdef" + "ABCDEF", ("[0-9]", "[A-Fa-f]"), 2.9),
-    CharClass("b36entropy", r"(?<![A-Z0-9])[A-Z0-9]{20,}+|(?<![a-z0-9])[a-z0-9]{20,}+", UPPER + LOWER + DIGITS, ("[0-9]", "[A-Za-z]"), 3.6),
-    CharClass("b64entropy", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+", UPPER + LOWER + DIGITS + "+/_=-", ("[0-9]", "[A-Z]", "[a-z]"), 3.7),
+    CharClass("hexentropy", r"[0-9A-Fa-f]{20,}+", DIGITS + "abcdef" + "ABCDEF", ("[0-9]", "[A-Fa-f]"), 2.9),
+    CharClass("b36entropy", r"[A-Za-z0-9]{20,}+", UPPER + LOWER + DIGITS, ("[0-9]", "[G-Zg-z]", "^(?:[A-Z0-9]+|[a-z0-9]+)$"), 3.6),
+    CharClass("b64entropy", r"[A-Za-z0-9+/_=-]{20,}+", UPPER + LOWER + DIGITS + "+/_=-", ("[0-9]", "[A-Z]", "[a-z]"), 3.7),
 )
 SPAN = "array<struct<start:int,end:int>>"
 

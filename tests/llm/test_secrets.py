@@ -38,7 +38,7 @@ def brute(text):
 def texts():
     rng = random.Random(5)
     out = [None, "", "token=token: abcdefgh", "token = 'abc' password:\"hunter2hunter2\"", "AKIA" + "B" * 16 + " AKIAAKIA0000", "ſecret=abcdef PASSWD : qwertyui"]
-    out += ["😀é api_key='" + "".join(rng.choice("0123456789abcdef") for _ in range(40)) + "' ñ token=\n x", "id 123e4567-e89b-12d3-a456-426614174000 sample0123456789ABCDEFabcdef01"]
+    out += ["😀é api_key='" + "".join(rng.choice("0123456789abcdef") for _ in range(40)) + "' ñ token=\n x", "id 123e4567-e89b-12d3-a456-426614174000 sample0123456789ABCDEFabcdef01", "é MZXW6YTBOI5HS3DPNRQW4Y3F. k3j9x0q8v7z2m5n1b4c6w"]
     pieces = ["token", "=", ": ", "secret", '"', " ", "api_key", "apikey", "PassWord", "AKIA", "é", "😀", "\n", "-", "example"]
     for _ in range(150):
         s = ""
