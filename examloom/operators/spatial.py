@@ -11,6 +11,7 @@ IMAGE_BEFORE, TABLE_BEFORE, END_SLACK = 4.0, 8.0, 1.0
 FIGURE_OVERLAP, LINE_IN_FIGURE, TABLE_OWNED, SCAN_SHARE = 0.30, 0.50, 0.35, 0.55
 LAST_Y = 10_000.0
 REGION_PAD, LEAST_IMAGE, MOST_OF_PAGE = 12.0, 2_500.0, 0.45
+MOST_BOXES = 100_000
 STRIP_INSET, STRIP_ABOVE, STRIP_BELOW = 36.0, 6.0, 16.0
 
 
@@ -79,7 +80,11 @@ def not_scans(images: DataFrame, pages: DataFrame, keys: list[str], share: float
 
 
 def distinct_boxes(boxes: DataFrame, keys: list[str], order: list[str], points: float = NEAR_POINTS) -> DataFrame:
-    """Boxes that lie near none kept before them, in order, within their keys. Being near isn't transitive, so this is a fold over a page's boxes."""
+    """Boxes that lie near none kept before them, in order, within their keys.
+
+    Being near isn't transitive, so this is a fold over a page's boxes; more
+    than ``MOST_BOXES`` under one key are an error rather than an endless fold.
+    """
     others = [c for c in boxes.columns if c not in keys]
     rows = F.array_sort(F.collect_list(F.struct(*order, *[c for c in others if c not in order])))
 
@@ -88,6 +93,8 @@ def distinct_boxes(boxes: DataFrame, keys: list[str], order: list[str], points:
         return F.when(known, kept).otherwise(F.array_append(kept, row))
 
     listed = boxes.groupBy(*keys).agg(rows.alias("__rows"))
+    too_many = F.raise_error(F.lit(f"more than {MOST_BOXES} boxes under one key")).cast(listed.schema["__rows"].dataType)
+    listed = listed.withColumn("__rows", F.when(F.size("__rows") > MOST_BOXES, too_many).otherwise(F.col("__rows")))
     kept = F.aggregate("__rows", F.slice("__rows", 1, 0), step)
     return listed.select(*keys, F.explode(kept).alias("__row")).select(*keys, "__row.*").select(*boxes.columns)
 

@@ -20,7 +20,7 @@ __all__ = ["ORACLE_SQL", "QUERIES"]
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and texts of documents. A scan of fewer tasks than cores is dealt out first: its one file would keep one core busy."""
     docs, cores = table(spark, sf_dir, "documents").select("doc_id", "text"), spark.sparkContext.defaultParallelism
-    return docs if docs._jdf.queryExecution().toRdd().getNumPartitions() >= cores else docs.repartition(cores)
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
 
 
 # Validation and matching
