@@ -20,9 +20,9 @@ VERSIONS = {"examloom": "2", "schema": "canonical/v1"}
 DEFAULT_EXPECTED = 40
 
 
-def _parser() -> argparse.ArgumentParser:
-    parser = argparse.ArgumentParser(prog="examloom")
-    commands = parser.add_subparsers(dest="command", required=True)
+def parser() -> argparse.ArgumentParser:
+    whole = argparse.ArgumentParser(prog="examloom")
+    commands = whole.add_subparsers(dest="command", required=True)
     parse = commands.add_parser("parse", help="papers to questions and a report")
     parse.add_argument("folder")
     parse.add_argument("out")
@@ -42,11 +42,15 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--allow-partial-match", action="store_true")
     ingest.add_argument("--bank", help="folder of the bank's tables")
     ingest.add_argument("--bank-name")
+    serve = commands.add_parser("serve", help="a small HTTP service: uploads to ingest, and pages to look at results")
+    serve.add_argument("out", help="folder of the runs, shared by all executors")
+    serve.add_argument("--host", default="127.0.0.1")
+    serve.add_argument("--port", type=int, default=8000)
     run = commands.add_parser("query", help="a registered query over a folder of tables")
     run.add_argument("name", choices=sorted(registry.QUERIES))
     run.add_argument("tables")
     run.add_argument("out")
-    return parser
+    return whole
 
 
 def load_env(path: str, override: bool = False) -> str | None:
@@ -62,14 +66,21 @@ def load_env(path: str, override: bool = False) -> str | None:
 
 def main(argv: list[str] | None = None) -> int:
     """Returns 0 if all is well, 1 if a paper needs review or a stage has failed, 2 if there is nothing to read."""
-    args = _parser().parse_args(argv)
+    args = parser().parse_args(argv)
     load_env(".env")
     spark = SparkSession.builder.appName("examloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "query":
         registry.QUERIES[args.name](spark, args.tables).write.mode("overwrite").parquet(args.out)
         return 0
     if args.command == "ingest":
-        return _ingest(spark, args)
+        stages = ingest(spark, args)
+        print(json.dumps(stages, indent=2))
+        return int(any(s["status"] == "failed" for s in stages))
+    if args.command == "serve":
+        from examloom import service
+
+        service.serve(spark, args.host, args.port, args.out)
+        return 0
     found = pages.read_files(spark, args.folder, pages.with_attempts(READERS[args.reader])).persist()
     try:
         return _parse(found, args.out, args.expected, args.mode)
@@ -124,7 +135,8 @@ def _answers(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame,
     return entries.select("paper_id", F.col("number").alias("pos"), "page", F.col("number").cast("string").alias("question_ref"), "answer", F.lit(None).cast("string").alias("explanation")), found
 
 
-def _ingest(spark: SparkSession, args: argparse.Namespace) -> int:
+def ingest(spark: SparkSession, args: argparse.Namespace) -> list[dict[str, str]]:
+    """Runs the stages of an ingest and writes what each gives; the stages with their status."""
     now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
     one = spark.range(1).select(paper.run_name(F.lit(args.title).cast("string"), F.lit(args.paper_code), F.lit(args.exam_year), F.lit(now)).alias("id"))
     run_id = args.run_id or one.first()["id"]
@@ -154,8 +166,7 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> int:
     manifest = spark.createDataFrame(stages, "run_id string, stage string, status string, message string")
     extra = {"paper_code": args.paper_code, "exam_year": args.exam_year, "title": args.title, "expected_question_count": args.expected_count or 0, "versions": VERSIONS}
     sinks.write_run({"document_manifest": manifest.withColumn("run", F.lit(json.dumps(extra)))}, args.out)
-    print(json.dumps([dict(zip(("run_id", "stage", "status", "message"), s)) for s in stages], indent=2))
-    return int(any(s[2] == "failed" for s in stages))
+    return [dict(zip(("run_id", "stage", "status", "message"), s)) for s in stages]
 
 
 if __name__ == "__main__":
