@@ -67,12 +67,14 @@ def cut(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Like ``cut``, but as compressed Parquet: for tables with texts or many rows, which a checkpoint would keep at their full size."""
+def written(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Like ``cut``, but as compressed Parquet: for tables with texts or many rows, which a checkpoint would keep at their full size. The folder is added to ``paths``, for the caller to remove."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
     with _small_batches(spark):
         df.write.option("compression", "zstd").parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -104,4 +106,4 @@ def map_in_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], I
 def spread(df: DataFrame) -> DataFrame:
     """A scan over at least as many tasks as there are cores; one that has enough stays as it is, unshuffled."""
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= wanted else df.repartition(wanted)
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

@@ -510,29 +510,37 @@ def similar_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     Repeated rows count once; null texts count as one without words; an empty
     table gives no links; other columns are not looked at.
     """
+    paths: list[str] = []
     index = texts.mapInArrow(_of_texts(_prefixes(*_order(texts), similarity), INDEX), "shingle long, node long, place long")
-    met = common.written(index.repartition("shingle").sortWithinPartitions("shingle", "node").mapInArrow(_met(similarity), MET))
+    met = common.written(index.repartition("shingle").sortWithinPartitions("shingle", "node").mapInArrow(_met(similarity), MET), paths)
     pairs = common.cut(met.where(F.col("a").isNotNull()).select("a", "b").distinct())
     long = met.where(F.col("shingle").isNotNull()).select(*INDEX)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node")).distinct()
-    some = common.written(texts.groupBy("node").agg(F.first("text").alias("text")).join(wanted, "node", "left_semi"))
+    some = common.written(texts.groupBy("node").agg(F.first("text").alias("text")).join(wanted, "node", "left_semi"), paths)
     # Texts move only where sketches, which are a small part of them, leave it open whether a pair is similar.
-    sketches = common.written(some.select("node", "text").mapInArrow(_sketches, SKETCH))
+    sketches = common.written(some.select("node", "text").mapInArrow(_sketches, SKETCH), paths)
     left, right = (sketches.select(F.col("node").alias(n), F.col("size").alias(f"size_{n}"), F.col("sketch").alias(f"sketch_{n}")) for n in "ab")
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "sketch_a", "size_b", "sketch_b")
     possible = common.cut(both.mapInArrow(_possible(similarity), "a long, b long"))
-    few = common.written(some.join(possible.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"))
+    few = common.written(some.join(possible.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"), paths)
     left, right = (few.select(F.col("node").alias(n), F.col("text").alias(f"of_{n}")) for n in "ab")
     found = common.cut(possible.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(_verified(similarity), "a long, b long"))
     if long.isEmpty():
-        return found
+        return _without(paths, found)
     members = common.cut(long.join(graph.components(found), "node", "left").select("shingle", "node", F.coalesce("root", "node").alias("root"), F.shiftright("place", 32).alias("size")))
     dealt = _dealt(members, F.count("*") / BLOCK).join(sketches.select("node", "sketch"), "node")
-    open_ = common.written(dealt.groupBy("shingle", "first", "second").applyInPandas(_plausible(similarity), "shingle long, node long").distinct())
+    open_ = common.written(dealt.groupBy("shingle", "first", "second").applyInPandas(_plausible(similarity), "shingle long, node long").distinct(), paths)
     dealt = _dealt(members.join(open_, ["shingle", "node"], "left_semi"), F.sum("size") / BLOCK_SHINGLES)
-    few = common.written(some.join(open_.select("node").distinct(), "node", "left_semi"))
+    few = common.written(some.join(open_.select("node").distinct(), "node", "left_semi"), paths)
     more = dealt.join(few, "node").groupBy("shingle", "first", "second").applyInPandas(_links_of_list_blocks(similarity), "a long, b long")
-    return found.unionByName(common.cut(more))
+    return _without(paths, found.unionByName(common.cut(more)))
+
+
+def _without(paths: list[str], result: DataFrame) -> DataFrame:
+    """A result that is cut off from the folders it was made from, which go."""
+    for path in paths:
+        common.remove_folder(result.sparkSession, path)
+    return result
 
 
 def _dealt(members: DataFrame, blocks: Column) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import zlib
 
 import pytest
-from examloom.llm import decontaminate, licenses, order_minhash, quality, urls
+from examloom.llm import decontaminate, licenses, order_minhash, quality, quality_selection, urls
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -232,3 +232,18 @@ def test_next_documents(spark, monkeypatch, bucket):
     assert order_minhash.with_next(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     like = spark.createDataFrame([("0" * 512, "0" * 256 + "1" * 256)], "a string, b string").select(order_minhash.likeness(F.col("a"), F.col("b"))).first()[0]
     assert like == 0.5
+
+
+def test_settings_are_chosen_without_held_out_rows(spark, tmp_path):
+    rng = random.Random(9)
+    word = lambda y: rng.choice(["cat", "sat", "mat", "noon"] if y else ["xq#", "zz%", "vv&", "qq!"])
+    docs = [(i, f"{i} " + " ".join(word(i % 2) for _ in range(80))) for i in range(120)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    fitted, compared = quality_selection.rows(spark, str(tmp_path))
+    remainders = [{zlib.crc32(text.split()[0].encode()) % 3 for text, _ in part} for part in (fitted, compared)]
+    assert remainders == [{0}, {2}] and len(fitted) + len(compared) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _ in docs)
+    for settings in (quality.SETTINGS, quality_selection.FIRST):
+        wrong, loss = quality_selection.cost(settings, [(fitted, compared)])
+        assert wrong == 0 and 0 <= loss < len(compared)
+    assert quality.fit(fitted, quality_selection.FIRST).settings == quality_selection.FIRST
