@@ -18,6 +18,7 @@ state machine that holds at most three bytes back.
 from __future__ import annotations
 
 import base64
+import marshal
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -28,6 +29,8 @@ from pyspark.sql import types as T
 from . import common
 
 MAX_STATES = 50_000
+#: A version of marshal that writes equal values as equal bytes.
+PLAIN = 2
 MEMO_PIECES = 350_000
 MEMO_PAIRS = 600_000
 
@@ -39,13 +42,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class State:
-    __slots__ = ("configs", "next", "packed")
+    """A set of configurations, kept as bytes: they are looked at only where a new byte leads on."""
 
-    def __init__(self, configs: tuple):
-        self.configs = configs  # (trie node of the bytes begun, token before them or -1, tokens not yet emitted), earliest start first
+    __slots__ = ("key", "next", "packed")
+
+    def __init__(self, key: bytes):
+        self.key = key
         self.next: dict[int, tuple[State, bytes]] = {}
         self.packed: bytes | None = None
 
+    @property
+    def configs(self) -> tuple:
+        """(trie node of the bytes begun, token before them or -1, tokens not yet emitted), earliest start first."""
+        return marshal.loads(self.key)
+
     @property
     def rest(self) -> bytes:
         """What remains to be emitted if the input ends here."""
@@ -82,8 +92,8 @@ class Transducer:
         if any(self.rank_at[self.child.get(byte, 0)] < 0 for byte in range(256)):
             raise ValueError("the rank table lacks a single byte")
         self.pairs: dict[int, bool] = {}
-        self.start = State(((0, -1, ()),))
-        self.states = {self.start.configs: self.start}
+        self.start = State(marshal.dumps(((0, -1, ()),), PLAIN))
+        self.states = {self.start.key: self.start}
 
     def merged(self, data: bytes) -> list[int]:
         """The merge loop itself, for strings of two tokens."""
@@ -132,12 +142,12 @@ class Transducer:
                 break
         if n := len(shared):
             live = [(node, before, tokens[n:]) for node, before, tokens in live]
-        configs = tuple(live)
-        after = self.states.get(configs)
+        key = marshal.dumps(tuple(live), PLAIN)
+        after = self.states.get(key)
         if after is None:
             if len(self.states) >= MAX_STATES:
                 return None
-            after = self.states[configs] = State(configs)
+            after = self.states[key] = State(key)
         edge = state.next[byte] = after, array("i", shared).tobytes()
         return edge
 
