@@ -306,14 +306,9 @@ class Codec:
         return "".join(out) + ("�" if held else "")
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
     """The codec of a rank file, built once in each Python worker."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+    return common.worker_tables((Codec, path, pattern), lambda: Codec(path, pattern))
 
 
 def _with(batch: pa.RecordBatch, names: list[str], arrays: list[pa.Array]) -> pa.RecordBatch:

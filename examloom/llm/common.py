@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,6 +80,24 @@ def written(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_tables: dict[Any, Any] = {}
+
+
+def worker_tables(key: Any, make: Callable[[], Any]) -> Any:
+    """Large tables of one operator, made once in each Python worker; those of any other are let go, as Spark uses its workers again for whatever comes next."""
+    if key not in _tables:
+        free_tables()
+        _tables[key] = make()
+    return _tables[key]
+
+
+def free_tables() -> None:
+    """Lets go of what other operators have left in this Python worker, cycles included."""
+    if _tables:
+        _tables.clear()
+        gc.collect()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder through Spark's own file system layer."""
     jvm = spark.sparkContext._jvm

@@ -266,6 +266,7 @@ def with_hits(
 def _hits_column(sent: Broadcast, kind: T.DataType, threshold: float):
     @F.pandas_udf(kind)
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        common.free_tables()
         index = Index(sent.value, threshold)
         keys = ("item_id", "coverage", "tiles", "first_word")
         for texts in batches:

@@ -192,6 +192,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "s
 
     @F.pandas_udf(T.DoubleType())
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        common.free_tables()
         scorer = Scorer(model)
         for texts in batches:
             yield pd.Series([scorer.score(t) for t in texts], dtype="float64")

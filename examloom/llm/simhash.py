@@ -81,6 +81,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "simhash"
 
     @F.pandas_udf(T.LongType())
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        common.free_tables()
         for texts in batches:
             yield pd.Series([fingerprint(t) for t in texts], dtype="int64")
 
@@ -280,6 +281,7 @@ def _of_texts(make: Callable[[int, np.ndarray], list[np.ndarray]], names: list[s
     """A function for mapInArrow over (node, text): rows of longs that ``make`` gives for a node and its shingles, once in a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.free_tables()
         seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -359,6 +361,7 @@ def _met(similarity: float):
                 yield out((np.maximum(node[at], node[at + d]), np.minimum(node[at], node[at + d])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.free_tables()
         held: list[list[np.ndarray]] = []
         for batch in batches:
             arrays = [c.to_numpy() for c in batch.columns]
