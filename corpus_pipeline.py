@@ -31,8 +31,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least id of every group of near-duplicates."""
-    return simhash.keep_one(docs).select(*COLUMNS)
+    """Keeps the document of the least id of every group of near-duplicates: operator 3's components, joined where texts are similar beyond their fingerprints."""
+    return simhash.keep_one(docs, by_fingerprint=True).select(*COLUMNS)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,3 +88,24 @@ def test_stages_take_odd_rows(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, folder)
             assert out.count() <= docs.count(), name
+
+
+def test_near_dedup_joins_fingerprints_and_similar_texts(spark):
+    """Of a pair within four bits, or with a Jaccard similarity of 0.8, the first stays; of a pair that is neither, both."""
+    rng = random.Random(12)
+    wanted, rows, kept = {(True, False): 3, (False, True): 3, (False, False): 3}, [], set()
+    while any(wanted.values()):
+        base = [f"w{rng.getrandbits(40)}" for _ in range(300)]
+        edited, step = list(base), 75 if wanted[False, True] else 37
+        for i in range(10, 300, step):
+            edited[i] = f"w{rng.getrandbits(40)}"
+        a, b = " ".join(base), " ".join(edited)
+        x, y = (set(simhash.shingle_set(t).tolist()) for t in (a, b))
+        kind = (simhash.fingerprint(a) ^ simhash.fingerprint(b)) % (1 << 64)
+        kind = (kind.bit_count() <= 4, len(x & y) >= 0.8 * len(x | y))
+        if wanted.get(kind):
+            wanted[kind] -= 1
+            kept |= {len(rows)} if any(kind) else {len(rows), len(rows) + 1}
+            rows += [(len(rows) + i, t, "en", "s", len(t)) for i, t in enumerate((a, b))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()} == kept
