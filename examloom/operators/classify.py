@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 TITLE_WEIGHT, LOW_CONFIDENCE, MOST_CONFIDENCE, LEAST_DENOMINATOR, GROWTH = 1.4, 0.12, 0.99, 8.0, 3.0
 #: A taxonomy of at most so many rows of leaf and word is sent to all executors; a larger one is joined by shuffle.
 BROADCAST_WORDS = 200_000
+#: Scores that agree to so many places are tied: sums of floats depend on their order.
+TIE_PLACES = 6
 
 #: Words that say nothing about a topic.
 STOP_WORDS = (
@@ -30,8 +32,8 @@ BOOST = {
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case runs of a-z and 0-9 of two characters or more that aren't stop words."""
-    found = F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), F.lit(1))
+    """Lower-case runs of a-z and 0-9 of two characters or more that aren't stop words. A dotted capital I is an i, as in SQL, without a mark that parts the word."""
+    found = F.regexp_extract_all(F.lower(F.replace(text, F.lit("İ"), F.lit("i"))), F.lit("([a-z0-9]+)"), F.lit(1))
     return F.filter(found, lambda t: (F.length(t) > 1) & ~t.isin(*STOP_WORDS))
 
 
@@ -58,7 +60,7 @@ def classify(questions: DataFrame, leaves: DataFrame, id_col: str, text_col: str
     """Per question the best leaf, its score, confidence and status (ok or needs_review).
 
     A shared token adds sqrt(occurrences) * weight in the leaf * boost. The
-    first leaf in the taxonomy wins ties. A question's tokens are made once and
+    first leaf in the taxonomy wins ties (``TIE_PLACES``). A question's tokens are made once and
     go one way: those that the taxonomy lacks are folded into one count before
     the first shuffle, which leaves a row for each question and known token.
     Questions without tokens or hits have no leaf, confidence 0 and need
@@ -72,7 +74,7 @@ def classify(questions: DataFrame, leaves: DataFrame, id_col: str, text_col: str
     counted = each.join(sent(vocabulary), "token", "left").groupBy(id_col, "__n", F.col("known").alias("token")).agg(F.count("*").alias("n"))
     hits = counted.join(sent(words), "token", "left")
     scores = hits.groupBy(id_col, "__n", "leaf").agg(F.sum(F.sqrt("n") * F.col("weight") * boost(F.col("token"))).alias("score"))
-    place = F.when(F.col("leaf").isNotNull(), F.struct("score", (-F.col("leaf")).alias("first")))
+    place = F.when(F.col("leaf").isNotNull(), F.struct(F.round("score", TIE_PLACES).alias("tied"), (-F.col("leaf")).alias("first")))
     best = scores.groupBy(id_col, "__n").agg(F.max_by(F.struct("leaf", "score"), place).alias("best"))
     score = F.coalesce("best.score", F.lit(0.0))
     confidence = F.least(F.lit(MOST_CONFIDENCE), score / (score + F.greatest(F.lit(LEAST_DENOMINATOR), F.sqrt("__n") * GROWTH)))

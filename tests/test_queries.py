@@ -53,3 +53,14 @@ def test_near_dup_images_against_a_loop(spark):
         by.setdefault(r[0], []).append(r[1:])
     want = sorted((k, *b) for k, boxes in by.items() for b in near_kept(boxes))
     assert sorted(map(tuple, registry.QUERIES["near_dup_images"](spark, SF_DIR).collect())) == want
+
+
+def test_classify_keyword_on_ties_and_capitals(spark, tmp_path):
+    """Leaves 2 and 4 are tied, but the sum of two terms ends in another bit than the one term; a dotted capital I parts no word."""
+    texts = ["de " * 30 + "ch aux " * 30, "DİE XİNG İNG", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"SELECT doc_id, leaf, score, confidence, status FROM ({registry.ORACLE_SQL['classify_keyword']}) ORDER BY 1").fetchall()
+    got = registry.QUERIES["classify_keyword"](spark, str(tmp_path)).select("doc_id", "leaf", "score", "confidence", "status").orderBy("doc_id").collect()
+    assert [r["leaf"] for r in got] == [2, 1, None, None] and list(map(tuple, got)) == want
