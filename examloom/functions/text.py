@@ -42,6 +42,8 @@ VISUAL_CUES = (
 
 HEADER_Y, FOOTER_INSET, PAGE_HEIGHT = 50.0, 50.0, 842.0
 PREVIEW_CHARS, CONTEXT_CHARS = 100, 3000
+#: A control character that stands around matches while a text is cut.
+MARK = "\x01"
 
 
 def strip(c: Column) -> Column:
@@ -63,6 +65,18 @@ def let(c: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(c), use), 1)
 
 
+def _pieces(text: Column, pattern: str) -> Column:
+    """A text cut before and after every match of a pattern: gaps at even places, matches at odd ones.
+
+    Matches are put between marks in one search, and a split at a mark compiles
+    no pattern; a split at the pattern compiles it for every row, so that is left
+    to texts that hold the mark themselves.
+    """
+    marked = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1)
+    apart = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda gap, match: F.array(gap, match))
+    return F.when(F.contains(text, F.lit(MARK)), F.array_compact(F.flatten(apart))).otherwise(marked)
+
+
 def rewritten(c: Column, pattern: str, form: Callable[[Column], Column]) -> Column:
     """A text with every match of a pattern replaced by an expression of the match."""
 
@@ -78,20 +92,14 @@ def located(c: Column, pattern: str) -> Column:
     """Matches of a pattern with their places: array of (raw, start, end), in code points, ends exclusive."""
     kind = "array<struct<raw:string,start:int,end:int>>"
 
-    def of(text: Column) -> Column:
-        matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-
-        def add(at: Column, pair: Column) -> Column:
-            start = at["at"] + F.length(pair["gap"])
-            end = start + F.length(pair["raw"])
-            place = F.struct(pair["raw"].alias("raw"), start.cast("int").alias("start"), end.cast("int").alias("end"))
-            return F.struct(end.cast("int").alias("at"), F.array_append(at["found"], place).alias("found"))
+    def add(at: Column, piece: Column) -> Column:
+        end = at["at"] + F.length(piece)
+        place = F.struct(piece.alias("raw"), at["at"].alias("start"), end.alias("end"))
+        return F.struct(end.alias("at"), (~at["odd"]).alias("odd"), F.when(at["odd"], F.array_append(at["found"], place)).otherwise(at["found"]).alias("found"))
 
-        pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda gap, raw: F.struct(gap.alias("gap"), raw.alias("raw")))
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
-        return F.when(text.rlike(pattern), F.aggregate(pairs, begin, add, lambda at: at["found"])).otherwise(F.array().cast(kind))
-
-    return let(c, of)
+    begin = F.struct(F.lit(0).alias("at"), F.lit(False).alias("odd"), F.array().cast(kind).alias("found"))
+    found = lambda pieces: F.when(F.size(pieces) > 1, F.aggregate(pieces, begin, add, lambda at: at["found"])).otherwise(F.array().cast(kind))
+    return let(c, lambda text: let(_pieces(text, pattern), found))
 
 
 def preview(c: Column, limit: int = PREVIEW_CHARS) -> Column:

@@ -367,8 +367,14 @@ s AS (SELECT *, translate(a, '0123456789', '₀₁₂₃₄₅₆₇₈₉') AS
 
 
 def _notation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with notation in them, from the numbers of parts."""
-    part = table(spark, sf_dir, "part")
+    """Texts with notation in them, from the numbers of parts.
+
+    Numbers are always dealt out: a few bytes become a text with much work, and
+    millions of them lie in one row group, which is one task's however many the
+    scan has.
+    """
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    part = part.repartition(max(part.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
     a, b, c = ((F.col("p_partkey") % n + 1).cast("string") for n in (12, 30, 3))
     size = F.col("p_size").cast("string")
     plain = F.concat(F.lit("Take "), size, F.lit(" cm 3 of C"), a, F.lit("H"), b, F.lit(" ( G ) with Fe"), c, F.lit("+ at "), size, F.lit(" atmospheres"))
@@ -399,7 +405,8 @@ SELECT p_partkey, kind, raw, normalized, CAST("start" AS INT) AS "start", CAST("
 def chem_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formulae, units and states with their places: in the text of every other part."""
     rows = chemistry.tokens(_notation(spark, sf_dir).where(F.col("p_partkey") % 2 == 0), "text")
-    return rows.select("p_partkey", F.explode("tokens").alias("token")).select("p_partkey", "token.*")
+    # A plain explode gets a filter on the size of its array, which makes all tokens twice more.
+    return rows.select("p_partkey", F.explode_outer("tokens").alias("token")).where(F.col("token").isNotNull()).select("p_partkey", "token.*")
 
 
 @query("SELECT doc_id, sha256(text) AS sha256, strlen(text) AS n_bytes FROM documents")

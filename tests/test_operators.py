@@ -1,6 +1,7 @@
 """Operators on small inputs: notation, figures, blocks, syllabus, evaluation, ingest, sources and sinks."""
 
 import json
+import re
 
 import pytest
 from examloom.functions import boxes
@@ -67,6 +68,20 @@ def test_notation_tokens(spark):
     assert "Add 24 cm 3 of H2SO4(aq); A 15"[token["start"] : token["end"]] == "H2SO4"
 
 
+def test_matches_and_their_places(spark):
+    """Texts cut at matches against a loop: at the ends, side by side, without any, and with the mark that cutting uses."""
+    texts = ["", " ", "x", "H2O", "H2O CO2", "H2OCO2 and", "12+34-", "\x01", "\x01H2O\x01\x01CO2\x01", "a\x01b 7\x01", "\U0001d49c é H2O", "$1 \\0 H2SO4", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for pattern in (chemistry.FORMULA, r"\d", r"[+-]|\d+", r"\x01", r".", r"\$\d"):
+        got = df.select("i", tx.located(F.col("t"), pattern).alias("at"), tx.rewritten(F.col("t"), pattern, lambda m: F.concat(F.lit("<"), m, F.lit("$0>"))).alias("new")).collect()
+        for i, at, new in got:
+            if texts[i] is None:
+                assert new is None and not at
+                continue
+            found = list(re.finditer(pattern, texts[i], re.ASCII))
+            assert (at, new) == ([(m[0], *m.span()) for m in found], re.sub(pattern, lambda m: f"<{m[0]}$0>", texts[i], flags=re.ASCII)), (pattern, texts[i])
+
+
 def test_bands(spark):
     starts = spark.createDataFrame([("p", 3, 3, 60.0), ("p", 4, 3, 377.0), ("p", 5, 4, 60.0)], "paper_id string, number int, page int, y0 double")
     points = spark.createDataFrame([("p", "a", 3, 231.0), ("p", "b", 3, 619.0), ("p", "c", 3, 57.0), ("p", "d", 3, 55.0), ("p", "e", 3, 376.0), ("p", "f", 4, 59.5), ("q", "g", 1, 1.0)], "paper_id string, name string, page int, y double")

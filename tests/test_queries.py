@@ -1,6 +1,7 @@
 """Every registered query with SQL gives DuckDB's rows on the smallest tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -64,3 +65,11 @@ def test_classify_keyword_on_ties_and_capitals(spark, tmp_path):
     want = con.execute(f"SELECT doc_id, leaf, score, confidence, status FROM ({registry.ORACLE_SQL['classify_keyword']}) ORDER BY 1").fetchall()
     got = registry.QUERIES["classify_keyword"](spark, str(tmp_path)).select("doc_id", "leaf", "score", "confidence", "status").orderBy("doc_id").collect()
     assert [r["leaf"] for r in got] == [2, 1, None, None] and list(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("name", ["chem_normalize", "chem_tokens"])
+def test_notation_is_dealt_out_and_made_once(spark, name):
+    """Parts in one file keep all cores busy, and no filter makes a text's notation again."""
+    frame = registry.QUERIES[name](spark, SF_DIR)
+    assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert not re.search(r"Filter .*transform\(", frame._jdf.queryExecution().optimizedPlan().toString())
