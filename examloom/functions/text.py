@@ -80,12 +80,11 @@ def _pieces(text: Column, pattern: str) -> Column:
 def rewritten(c: Column, pattern: str, form: Callable[[Column], Column]) -> Column:
     """A text with every match of a pattern replaced by an expression of the match."""
 
-    def of(text: Column) -> Column:
-        matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-        pieces = F.zip_with(gaps, F.transform(matches, form), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
-        return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
+    def of(pieces: Column) -> Column:
+        drawn = F.transform(pieces, lambda piece, i: F.when(i % 2 == 1, F.coalesce(form(piece), F.lit(""))).otherwise(piece))
+        return F.when(F.size(pieces) > 1, F.array_join(drawn, "")).otherwise(F.get(pieces, F.lit(0)))
 
-    return let(c, of)
+    return let(c, lambda text: let(_pieces(text, pattern), of))
 
 
 def located(c: Column, pattern: str) -> Column:
